@@ -126,8 +126,8 @@ def _nodes(model, quantile, tree_no, values):
 
 
 def train_quantile_trees(
-    fit: DataFrame,
-    val: DataFrame,
+    rows: DataFrame,
+    is_val,
     label: str,
     features=MODEL_FEATURES,
     quantiles=QUANTILES,
@@ -140,18 +140,16 @@ def train_quantile_trees(
     checkpoint_every=8,
     seed=42,
 ) -> QuantileTrees:
-    """Boost until ``rounds`` or until no quantile has improved on ``val`` for ``patience`` rounds.
+    """Boost until ``rounds`` or until no quantile improved for ``patience`` validation rounds.
 
-    Trees after the best validation round are dropped, per quantile.
+    ``is_val`` is a Column telling validation rows from training rows, so that the features are
+    computed once for both. Trees after the best validation round are dropped, per quantile.
     """
     names = list(quantiles)
-    spark = fit.sparkSession
+    spark = rows.sparkSession
     shared_dir(spark)
-    cols = [*features, label]
-    rows = fit.select(*cols, F.lit(False).alias("is_val")).unionByName(
-        val.select(*cols, F.lit(True).alias("is_val"))
-    )
-    rows = written(rows.filter(F.col(label).isNotNull()), "boost")
+    rows = rows.filter(F.col(label).isNotNull()).select(*features, label, is_val.alias("is_val"))
+    rows = written(rows, "boost")
     start = rows.filter(~F.col("is_val")).agg(
         *[F.percentile_approx(label, quantiles[n], 10_000).alias(n) for n in names]
     ).first()
@@ -176,8 +174,7 @@ def train_quantile_trees(
                 )
                 return forest.fit(train.select("x", gradient.alias("g")))
 
-            target = inheritable_thread_target(spark)(grow) if callable(inheritable_thread_target) else grow
-            models = dict(zip(names, pool.map(target, names)))
+            models = dict(zip(names, pool.map(inheritable_thread_target(spark)(grow), names)))
             leafed = state
             for n in names:
                 leafed = models[n].transform(leafed).withColumn(
