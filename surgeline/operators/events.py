@@ -88,125 +88,4 @@ def spike_windows(usage: DataFrame, log: DataFrame, margin=10) -> DataFrame:
     spikes = explode_series(log.filter(F.col("event_type") == "spike"))
     window = on_dates(spikes, F.date_sub("event_date", margin), F.date_add("event_end_date", margin))
     window = window.select("event_name", DATE, *KEYS, F.datediff(DATE, "event_date").alias("day_offset"))
-    return window.join(usage, [DATE, *KEYS])
-
-
-# Shape of a spike (day before, first day, last day, day after), month and quarter-end
-# factors, late-December factor.
-SPIKE_BEFORE, SPIKE_FIRST, SPIKE_LAST, SPIKE_AFTER = 0.4, 0.7, 0.8, 0.3
-MONTH_FACTORS = [0.88, 0.95, 1.08, 0.98, 1.00, 1.06, 0.93, 0.91, 1.05, 1.03, 1.02, 1.10]
-QUARTER_END_MONTHS = [3, 6, 9, 12]
-QUARTER_END_BOOST = 1.08
-LATE_DECEMBER = 0.72
-
-
-def with_step_factor(df: DataFrame, steps: DataFrame, keys=KEYS) -> DataFrame:
-    """Cumulative level shifts with a linear ramp.
-
-    ``steps``: event_date, ramp_days, magnitude and the series keys. Each event contributes its
-    day-to-day change of the log factor on its ramp days only; the running sum along the series is
-    then the product over all events so far.
-    """
-    at = lambda o: F.ln(1 + F.col("magnitude") * o / F.col("ramp_days"))
-    ramp = steps.withColumn("_o", F.explode(F.sequence(F.lit(1), F.col("ramp_days"))))
-    moves = (
-        ramp.select(*keys, F.expr("date_add(event_date, _o)").alias(DATE), (at(F.col("_o")) - at(F.col("_o") - 1)).alias("_m"))
-        .groupBy(*keys, DATE)
-        .agg(F.sum("_m").alias("_m"))
-    )
-    rows = df.withColumn("_m", F.lit(0.0)).withColumn("_row", F.lit(True))
-    both = rows.unionByName(moves.withColumn("_row", F.lit(False)), allowMissingColumns=True)
-    so_far = Window.partitionBy(*keys).orderBy(DATE).rangeBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("step_factor", F.exp(F.sum("_m").over(so_far))).filter("_row").drop("_m", "_row")
-
-
-def with_spike_factor(df: DataFrame, spikes: DataFrame, keys=KEYS) -> DataFrame:
-    """Short surges with build-up and decay; overlapping spikes multiply.
-
-    ``spikes``: start_date, end_date, magnitude (peak multiple) and the series keys.
-    """
-    excess = F.col("magnitude") - 1
-    start, end, day = F.col("start_date"), F.col("end_date"), F.col(DATE)
-    long = F.datediff(end, start) + 1 >= 3
-    part = (
-        F.when(day < start, SPIKE_BEFORE)
-        .when(day > end, SPIKE_AFTER)
-        .when(long & (day == start), SPIKE_FIRST)
-        .when(long & (day == end), SPIKE_LAST)
-        .otherwise(1.0)
-    )
-    window = on_dates(spikes, F.date_sub("start_date", 1), F.date_add("end_date", 1))
-    factor = window.groupBy(*keys, DATE).agg(F.product(1 + excess * part).alias("_f"))
-    return _joined(df, factor, [*keys, DATE], "spike_factor")
-
-
-def with_outage_factor(df: DataFrame, outages: DataFrame) -> DataFrame:
-    """Outage level, then a linear recovery to one.
-
-    ``outages``: compute_type, start_date, end_date, recovery_end, outage_level, recovery_level.
-    """
-    window = on_dates(outages, F.col("start_date"), F.col("recovery_end"))
-    done = F.datediff(DATE, "end_date") / F.datediff("recovery_end", "end_date")
-    level = F.when(F.col(DATE) <= F.col("end_date"), F.col("outage_level")).otherwise(
-        F.col("recovery_level") + (1 - F.col("recovery_level")) * done
-    )
-    factor = window.groupBy("compute_type", DATE).agg(F.product(level).alias("_f"))
-    return _joined(df, factor, ["compute_type", DATE], "outage_factor")
-
-
-def with_holiday_factor(df: DataFrame, tiers: DataFrame, impact: DataFrame) -> DataFrame:
-    """1 - reduction for the segment and the tier of the day's holiday."""
-    days = tiers.select(DATE, "tier").distinct()
-    out = df.join(days, DATE, "left").join(impact, ["customer_segment", "tier"], "left")
-    return out.withColumn("holiday_factor", 1 - F.coalesce("reduction", F.lit(0.0))).drop("tier", "reduction")
-
-
-def with_season_factor(df: DataFrame, weekly: DataFrame, weekend: DataFrame) -> DataFrame:
-    """Weekday, weekend, month, quarter-end and late-December factors.
-
-    ``weekly``: compute_type, day_of_week, week_factor; ``weekend``: customer_segment, modifier.
-    """
-    day, month = F.dayofmonth(DATE), F.month(DATE)
-    months = F.array(*[F.lit(m) for m in MONTH_FACTORS])
-    annual = (
-        F.element_at(months, month)
-        * F.when(month.isin(QUARTER_END_MONTHS) & (day >= 21), QUARTER_END_BOOST).otherwise(1.0)
-        * F.when((month == 12) & (day >= 20), LATE_DECEMBER).otherwise(1.0)
-    )
-    out = (
-        df.withColumn("day_of_week", F.weekday(DATE))
-        .join(weekly, ["compute_type", "day_of_week"], "left")
-        .join(weekend, "customer_segment", "left")
-    )
-    week = F.coalesce("week_factor", F.lit(1.0)) * F.when(
-        F.col("day_of_week") >= 5, F.coalesce("modifier", F.lit(1.0))
-    ).otherwise(1.0)
-    return out.withColumns({"week_factor": week, "annual_factor": annual}).withColumn(
-        "season_factor", F.col("week_factor") * F.col("annual_factor")
-    ).drop("day_of_week", "modifier", "week_factor", "annual_factor")
-
-
-def _joined(df, factor, on, name):
-    return df.join(factor, on, "left").withColumn(name, F.coalesce("_f", F.lit(1.0))).drop("_f")
-
-
-DAYS_PER_MONTH = 30.44
-SCHEDULE_MONTHS = 48
-
-
-def with_compound_growth(df: DataFrame, schedule: DataFrame, start, keys=KEYS) -> DataFrame:
-    """Growth factor compounded over whole months plus the current part month.
-
-    ``schedule``: series keys, month_index, monthly_rate. Months count 30.44 days from ``start``;
-    nothing is added for the part month past the end of the schedule.
-    """
-    w = Window.partitionBy(*keys).orderBy("month_index").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.log1p("monthly_rate")).over(w), F.lit(0.0))
-    paths = schedule.select(*keys, "month_index", "monthly_rate", F.exp(before).alias("_before"))
-    months = F.datediff(DATE, start) / DAYS_PER_MONTH
-    rows = df.withColumn("_months", months).withColumn("month_index", F.floor("_months").cast("int"))
-    out = rows.join(paths, [*keys, "month_index"], "left")
-    frac = F.col("_months") - F.col("month_index")
-    return out.withColumn("growth_factor", F.col("_before") * (1 + F.col("monthly_rate") * frac)).drop(
-        "_months", "_before", "monthly_rate"
-    )
+    return window.join(usage, [DATE, *KEYS]).select("event_name", DATE, *KEYS, "day_offset", TARGET)

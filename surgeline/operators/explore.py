@@ -61,11 +61,6 @@ def monthly_mix(usage: DataFrame, dim="compute_type", target=TARGET) -> DataFram
     )
 
 
-def pivot_members(long: DataFrame, index, dim, members, value) -> DataFrame:
-    """Wide form with a fixed column order. Naming the members spares Spark a counting job."""
-    return long.groupBy(index).pivot(dim, list(members)).agg(F.first(value))
-
-
 def growth(daily: DataFrame, by=(), target=TARGET, edge=30) -> DataFrame:
     """First versus last ``edge`` days: multiple, compound monthly rate, annualised rate.
 
@@ -141,11 +136,13 @@ def volatility(usage: DataFrame, by=KEYS, target=TARGET) -> DataFrame:
     return rows.groupBy(*by).agg((F.stddev_samp("detrended") / F.avg("detrended")).alias("cv"))
 
 
-def type_correlation(daily: DataFrame, members, dim="compute_type", target=TARGET) -> DataFrame:
+def type_correlation(daily: DataFrame, dim="compute_type", target=TARGET) -> DataFrame:
     """Correlation of every pair of members, raw and detrended, over complete dates.
 
-    Members become columns, so all pairs come from one aggregate and no date emits its pairs.
+    The members are those of the data: meant for a dimension of few members, since the result has a
+    row for each pair. Members become columns, so all pairs come from one aggregate.
     """
+    members = sorted(r[0] for r in daily.select(dim).distinct().collect() if r[0] is not None)
     rows = with_centered_mean(daily, (dim,), target)
     wide = rows.groupBy(DATE).pivot(dim, list(members)).agg(
         F.first(target).alias("raw"), F.first("detrended").alias("flat")

@@ -6,7 +6,6 @@ from surgeline.operators import events, explore
 from surgeline.plans import settings as S
 from surgeline.plans import views as V
 from surgeline.plans.registry import query
-from surgeline.sources import holidays as H
 from surgeline.sources import panel as P
 
 SERIES = "compute_type, customer_segment"
@@ -34,12 +33,12 @@ def daily_by_segment(spark, folder):
 
 
 @query(
-    "monthly_mix", "A N R",
-    oracle=V.sql("panel", "SELECT CAST(date_trunc('month', date) AS DATE) AS month, " + ", ".join(
-        f"SUM(compute_hours) FILTER (compute_type = '{t}') / SUM(compute_hours) * 100 AS \"{t}\"" for t in S.TYPES) + " FROM panel GROUP BY 1"),
+    "monthly_mix", "hours pct",
+    oracle=V.sql("panel", """SELECT CAST(date_trunc('month', date) AS DATE) AS month, compute_type, SUM(compute_hours) AS hours,
+ SUM(compute_hours) / SUM(SUM(compute_hours)) OVER (PARTITION BY date_trunc('month', date)) * 100 AS pct FROM panel GROUP BY date_trunc('month', date), compute_type"""),
 )
 def monthly_mix(spark, folder):
-    return explore.pivot_members(explore.monthly_mix(V.usage(spark, folder)), "month", "compute_type", S.TYPES, "pct")
+    return explore.monthly_mix(V.usage(spark, folder)).select("month", "compute_type", "hours", "pct")
 
 
 @query("centered_ma28", "ma detrended", oracle=V.sql("panel", _ma("panel", SERIES)))
@@ -79,19 +78,16 @@ def volatility_cv(spark, folder):
     return explore.volatility(V.usage(spark, folder))
 
 
-_PAIRS = [(a, b) for i, a in enumerate(S.TYPES) for b in S.TYPES[i:]]
-
-
 @query(
     "type_correlation", "raw_corr detrended_corr", 5,
-    oracle=V.sql("bytype", f""", d AS ({_ma('bytype', 'compute_type')}), wd AS (SELECT date, {", ".join(
-        f"MAX(compute_hours) FILTER (compute_type = '{t}') AS {t}_raw, MAX(detrended) FILTER (compute_type = '{t}') AS {t}_flat" for t in S.TYPES)} FROM d GROUP BY date)
- """ + " UNION ALL ".join(
-        f"SELECT '{a}' AS type_a, '{b}' AS type_b, CORR({a}_raw, {b}_raw) AS raw_corr, CORR({a}_flat, {b}_flat) FILTER ({' AND '.join(t + '_flat IS NOT NULL' for t in S.TYPES)}) AS detrended_corr FROM wd"
-        for a, b in _PAIRS)).replace("\n, d AS", ",\nd AS"),
+    oracle=V.sql("bytype", f""", d AS ({_ma('bytype', 'compute_type')}), k AS (SELECT COUNT(DISTINCT compute_type) AS k FROM bytype),
+ full_days AS (SELECT date FROM d, k GROUP BY date, k HAVING COUNT(detrended) = k)
+ SELECT a.compute_type AS type_a, b.compute_type AS type_b, CORR(a.compute_hours, b.compute_hours) AS raw_corr,
+ CORR(CASE WHEN f.date IS NOT NULL THEN a.detrended END, CASE WHEN f.date IS NOT NULL THEN b.detrended END) AS detrended_corr
+ FROM d a JOIN d b ON a.date = b.date AND a.compute_type <= b.compute_type LEFT JOIN full_days f ON f.date = a.date GROUP BY 1, 2""").replace("\n, d AS", ",\nd AS"),
 )
 def type_correlation(spark, folder):
-    return explore.type_correlation(explore.totals(V.usage(spark, folder), "compute_type"), S.TYPES)
+    return explore.type_correlation(explore.totals(V.usage(spark, folder), "compute_type"))
 
 
 @query(
@@ -268,133 +264,3 @@ def classical_decomposition(spark, folder):
 )
 def decomposition_shares(spark, folder):
     return explore.decomposition_shares(explore.classical_decomposition(explore.totals(V.usage(spark, folder))))
-
-
-# --- adjustment factors ---
-
-_STEPS = S.values(S.STEPS, ["event_date", "ramp_days", "compute_type", "customer_segment", "magnitude"], ["event_date"])
-_STEP_SQL = f""", st AS ({_STEPS}), stepf AS (SELECT p.*, (SELECT COALESCE(PRODUCT(CASE WHEN p.date >= event_date + ramp_days THEN 1 + magnitude WHEN p.date >= event_date
- THEN 1 + magnitude * (p.date - event_date) / ramp_days ELSE 1.0 END), 1.0) FROM st WHERE st.compute_type = p.compute_type AND st.customer_segment = p.customer_segment) AS step_factor FROM panel p)"""
-_SPIKES = S.values(S.SPIKES, ["start_date", "end_date", "compute_type", "customer_segment", "magnitude"], ["start_date", "end_date"])
-_SPIKE_SQL = f""", sp AS ({_SPIKES}), spikef AS (SELECT p.*, (SELECT COALESCE(PRODUCT(1 + (magnitude - 1) * CASE WHEN p.date < start_date THEN 0.4 WHEN p.date > end_date THEN 0.3
- WHEN end_date - start_date >= 2 AND p.date = start_date THEN 0.7 WHEN end_date - start_date >= 2 AND p.date = end_date THEN 0.8 ELSE 1.0 END), 1.0)
- FROM sp WHERE sp.compute_type = p.compute_type AND sp.customer_segment = p.customer_segment AND p.date BETWEEN start_date - 1 AND end_date + 1) AS spike_factor FROM panel p)"""
-_OUTAGE_SQL = f""", o AS ({_OUTAGES}), outf AS (SELECT p.*, COALESCE((SELECT CASE WHEN p.date <= outage_end THEN {S.OUTAGE_LEVEL} ELSE {S.RECOVERY_LEVEL} + (1 - {S.RECOVERY_LEVEL}) * (p.date - outage_end) / CAST(recovery_end - outage_end AS DOUBLE) END
- FROM o WHERE o.compute_type = p.compute_type AND p.date BETWEEN outage_start AND recovery_end), 1.0) AS outage_factor FROM panel p)"""
-_IMPACT = S.values(S.HOLIDAY_IMPACT, ["customer_segment", "tier", "reduction"])
-_HOL_SQL = f""", im AS ({_IMPACT}), tiers AS (SELECT date, CASE WHEN holiday_name IN ({", ".join("'" + n.replace("'", "''") + "'" for n in H.MAJOR)}) THEN 'major'
- WHEN holiday_name IN ({", ".join("'" + n + "'" for n in H.MODERATE)}) THEN 'moderate' ELSE 'minor' END AS tier FROM holidays),
- holf AS (SELECT p.*, 1 - COALESCE(reduction, 0.0) AS holiday_factor FROM panel p LEFT JOIN tiers t ON p.date = t.date LEFT JOIN im ON im.tier = t.tier AND im.customer_segment = p.customer_segment)"""
-_WEEK_ROWS = [(t, i, f) for t, fs in S.WEEKLY.items() for i, f in enumerate(fs)]
-_SEASON_SQL = f""", wk AS ({S.values(_WEEK_ROWS, ["compute_type", "day_of_week", "week_factor"])}), we AS ({S.values(S.WEEKEND, ["customer_segment", "modifier"])}),
- mf AS ({S.values(list(enumerate(events.MONTH_FACTORS, 1)), ["m", "f"])}),
- seaf AS (SELECT p.*, COALESCE(week_factor, 1.0) * CASE WHEN isodow(date) >= 6 THEN COALESCE(modifier, 1.0) ELSE 1.0 END * f
- * CASE WHEN month(date) IN (3, 6, 9, 12) AND day(date) >= 21 THEN 1.08 ELSE 1.0 END * CASE WHEN month(date) = 12 AND day(date) >= 20 THEN 0.72 ELSE 1.0 END AS season_factor
- FROM panel p LEFT JOIN wk ON wk.compute_type = p.compute_type AND wk.day_of_week = isodow(date) - 1 LEFT JOIN we ON we.customer_segment = p.customer_segment JOIN mf ON mf.m = month(date))"""
-
-
-def _with(body, tables, needs="panel"):
-    return V.sql(needs, body + "\nSELECT " + tables).replace("\n, ", ",\n", 1)
-
-
-def step_factor_of(spark, df):
-    return events.with_step_factor(df, S.frame(spark, S.STEPS, S.STEP_SCHEMA))
-
-
-def spike_factor_of(spark, df):
-    return events.with_spike_factor(df, S.frame(spark, S.SPIKES, S.SPIKE_SCHEMA))
-
-
-def outage_factor_of(spark, df):
-    outages = S.frame(spark, S.OUTAGES, S.OUTAGE_SCHEMA).select(
-        "compute_type", F.col("outage_start").alias("start_date"), F.col("outage_end").alias("end_date"), "recovery_end",
-        F.lit(S.OUTAGE_LEVEL).alias("outage_level"), F.lit(S.RECOVERY_LEVEL).alias("recovery_level"),
-    )
-    return events.with_outage_factor(df, outages)
-
-
-def holiday_factor_of(spark, folder, df):
-    impact = spark.createDataFrame(S.HOLIDAY_IMPACT, "customer_segment string, tier string, reduction double")
-    return events.with_holiday_factor(df, H.with_tier(V.holidays(spark, folder)), impact)
-
-
-def season_factor_of(spark, df):
-    weekly = spark.createDataFrame(_WEEK_ROWS, "compute_type string, day_of_week int, week_factor double")
-    return events.with_season_factor(df, weekly, spark.createDataFrame(S.WEEKEND, "customer_segment string, modifier double"))
-
-
-@query("step_factor", "step_factor", oracle=_with(_STEP_SQL, "* FROM stepf"))
-def step_factor(spark, folder):
-    return step_factor_of(spark, V.usage(spark, folder))
-
-
-@query("spike_factor", "spike_factor", oracle=_with(_SPIKE_SQL, "* FROM spikef"))
-def spike_factor(spark, folder):
-    return spike_factor_of(spark, V.usage(spark, folder))
-
-
-@query("outage_factor", "outage_factor", oracle=_with(_OUTAGE_SQL, "* FROM outf"))
-def outage_factor(spark, folder):
-    return outage_factor_of(spark, V.usage(spark, folder))
-
-
-@query("holiday_factor", "holiday_factor", oracle=_with(_HOL_SQL, "* FROM holf", "panel holidays"))
-def holiday_factor(spark, folder):
-    return holiday_factor_of(spark, folder, V.usage(spark, folder))
-
-
-@query("season_factor", "season_factor", oracle=_with(_SEASON_SQL, "* FROM seaf"))
-def season_factor(spark, folder):
-    return season_factor_of(spark, V.usage(spark, folder))
-
-
-@query(
-    "event_adjusted_usage", "factor adjusted_hours", 5,
-    oracle=_with(
-        _STEP_SQL + _SPIKE_SQL + _OUTAGE_SQL + _HOL_SQL + _SEASON_SQL,
-        """a.date, a.compute_type, a.customer_segment, a.compute_hours, step_factor * spike_factor * outage_factor * holiday_factor * season_factor AS factor,
- a.compute_hours / (step_factor * spike_factor * outage_factor * holiday_factor * season_factor) AS adjusted_hours
- FROM stepf a JOIN spikef b USING (date, compute_type, customer_segment) JOIN outf c USING (date, compute_type, customer_segment)
- JOIN holf d USING (date, compute_type, customer_segment) JOIN seaf e USING (date, compute_type, customer_segment)""",
-        "panel holidays",
-    ),
-)
-def event_adjusted_usage(spark, folder):
-    """Usage with every known factor divided out."""
-    rows = step_factor_of(spark, V.usage(spark, folder))
-    rows = outage_factor_of(spark, spike_factor_of(spark, rows))
-    rows = season_factor_of(spark, holiday_factor_of(spark, folder, rows))
-    names = ["step_factor", "spike_factor", "outage_factor", "holiday_factor", "season_factor"]
-    factor = F.lit(1.0)
-    for n in names:
-        factor = factor * F.col(n)
-    return rows.withColumn("factor", factor).drop(*names).withColumn("adjusted_hours", F.col("compute_hours") / F.col("factor"))
-
-
-_SCHEDULE = """, mi AS (SELECT *, CAST(FLOOR((date - (SELECT MIN(date) FROM panel)) / CAST(30.44 AS DOUBLE)) AS INTEGER) AS month_index FROM panel),
- ms AS (SELECT compute_type, customer_segment, month_index, SUM(compute_hours) AS s FROM mi WHERE month_index < 48 GROUP BY 1, 2, 3),
- sch AS (SELECT *, GREATEST(COALESCE(s / LAG(s) OVER (PARTITION BY compute_type, customer_segment ORDER BY month_index) - 1, 0.0), -0.02) AS r FROM ms),
- pth AS (SELECT *, EXP(COALESCE(SUM(LN(1 + r)) OVER (PARTITION BY compute_type, customer_segment ORDER BY month_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)) AS b FROM sch)"""
-
-
-@query(
-    "compound_growth", "growth_factor",
-    oracle=_with(_SCHEDULE, """m.date, m.compute_type, m.customer_segment, m.compute_hours, m.month_index,
- b * (1 + r * ((m.date - (SELECT MIN(date) FROM panel)) / CAST(30.44 AS DOUBLE) - m.month_index)) AS growth_factor
- FROM mi m LEFT JOIN pth USING (compute_type, customer_segment, month_index)"""),
-)
-def compound_growth(spark, folder):
-    """Growth compounded over month-to-month rates observed in each series (floored at -2 %)."""
-    from pyspark.sql import Window
-
-    rows = V.usage(spark, folder)
-    start = V.origin(spark, folder)
-    month = F.floor(F.datediff("date", start) / events.DAYS_PER_MONTH).cast("int")
-    sums = (
-        rows.groupBy("compute_type", "customer_segment", month.alias("month_index"))
-        .agg(F.sum("compute_hours").alias("s"))
-        .filter(F.col("month_index") < events.SCHEDULE_MONTHS)
-    )
-    w = Window.partitionBy("compute_type", "customer_segment").orderBy("month_index")
-    rate = F.greatest(F.coalesce(F.col("s") / F.lag("s").over(w) - 1, F.lit(0.0)), F.lit(-0.02))
-    return events.with_compound_growth(rows, sums.withColumn("monthly_rate", rate).drop("s"), start)

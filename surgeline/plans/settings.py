@@ -3,6 +3,7 @@
 The date range fits the given tables: 1995-01-02 to 2001-11-04.
 """
 
+# Splits, folds and caps of the checked recipe, moved to the dates of the given tables.
 TRAIN_END = "1999-12-31"
 VAL_END = "2000-12-31"
 TEST_END = "2001-06-30"
@@ -13,8 +14,6 @@ LONG_RANGE_FROM = "2001-09-01"
 SIXTY_DAYS_TO = "2001-08-29"
 Q4_FIRST, Q4_LAST = "2001-10-01", "2001-12-31"
 EFFICIENCY_TYPE, EFFICIENCY_FROM = "N", "2001-08-01"
-TYPES = ["A", "N", "R"]
-
 # name, end of training, end of test; each calibrates on the last 90 days of its training window
 FOLDS = [
     ("fold_1", "1998-12-31", "1999-06-30"),
@@ -24,28 +23,30 @@ FOLDS = [
 FOLD_VAL_DAYS = 90
 CAPS = [0.04, 0.05, 0.06, 0.07, 10.0]  # the last one never binds
 
+# Planned demand, sized to the given panel (about 25 to 400 a day and series); two deals share a long
+# prefix and two hit one series.
 # event_name, expected_date, compute_type, customer_segment, estimated_daily_hours, probability
 DEALS = [
-    ("Alpha training contract", "2001-08-01", "A", "F", 250.0, 0.70),
-    ("Beta inference migration", "2001-09-15", "N", "F", 180.0, 0.55),
-    ("Gamma start-up cohort of the autumn batch", "2001-08-15", "A", "O", 80.0, 0.85),
-    ("Delta research grant wave", "2001-10-01", "R", "F", 120.0, 0.40),
-    ("Epsilon mid-size expansion", "2001-11-01", "N", "O", 60.0, 0.60),
-    ("Zeta follow-up order", "2001-10-15", "A", "F", 40.0, 0.50),
+    ("Warehouse rollout north", "2001-07-19", "N", "O", 95.0, 0.90),
+    ("Returns desk pilot", "2001-08-06", "R", "F", 34.0, 0.25),
+    ("Regional distribution framework, phase one", "2001-08-27", "A", "F", 52.0, 0.65),
+    ("Regional distribution framework, phase two", "2001-10-22", "A", "F", 71.0, 0.35),
+    ("Spare parts call-off", "2001-09-03", "N", "O", 18.0, 0.80),
+    ("Contract without a series", "2001-09-10", "X", "F", 10.0, 0.50),
 ]
 DEAL_SCHEMA = (
     "event_name string, expected_date date, compute_type string, customer_segment string, "
     "estimated_daily_hours double, probability double"
 )
 
+# Calendar marks looked at in the given panel.
 # event_date, event_end_date, event_type, event_name, affected_compute_types, affected_segments
 EVENTS = [
-    ("1996-02-15", "1996-02-29", "step_change", "Large onboarding", "A; N", "F"),
-    ("1997-12-01", "1997-12-11", "step_change", "Partner signing", "N", "O"),
-    ("1998-08-12", "1998-08-14", "spike", "Conference 1998", "R", "F; O"),
-    ("1999-08-11", "1999-08-14", "spike", "Conference 1999", "A; R", "F; O"),
-    ("1999-06-15", "1999-07-06", "churn", "Customer leaves", "A", "O"),
-    ("2000-12-10", "2000-12-24", "step_change", "Grant cycle", "R", "F; O"),
+    ("1995-09-05", "1995-10-02", "step_change", "Autumn price list", "N", "O"),
+    ("1997-03-17", "1997-04-04", "step_change", "Carrier change", "A; R", "F"),
+    ("1998-05-20", "1998-05-22", "spike", "Inventory days", "N", "O; F"),
+    ("2000-01-31", "2000-02-01", "spike", "Ledger close", "R; A", "F"),
+    ("1999-11-08", "1999-11-26", "churn", "Supplier leaves", "R", "F"),
 ]
 EVENT_SCHEMA = (
     "event_date date, event_end_date date, event_type string, event_name string, "
@@ -54,44 +55,11 @@ EVENT_SCHEMA = (
 
 # event_name, compute_type, outage_start, outage_end, recovery_end
 OUTAGES = [
-    ("Cluster outage", "A", "1998-04-07", "1998-04-08", "1998-04-11"),
-    ("Cluster outage", "N", "1998-04-07", "1998-04-08", "1998-04-11"),
+    ("Dock closed", "N", "1996-06-11", "1996-06-14", "1996-06-20"),
+    ("Dock closed", "R", "1996-06-11", "1996-06-12", "1996-06-16"),
+    ("Strike", "A", "2000-03-01", "2000-03-07", "2000-03-10"),
 ]
 OUTAGE_SCHEMA = "event_name string, compute_type string, outage_start date, outage_end date, recovery_end date"
-OUTAGE_LEVEL, RECOVERY_LEVEL = 0.10, 0.60
-
-# event_date, ramp_days, compute_type, customer_segment, magnitude
-STEPS = [
-    ("1996-02-15", 14, "A", "F", 0.15),
-    ("1996-02-15", 14, "N", "F", 0.15),
-    ("1997-12-01", 10, "N", "O", 0.08),
-    ("1999-06-15", 21, "A", "F", -0.10),
-    ("1999-06-20", 21, "A", "F", 0.05),
-    ("2000-12-10", 14, "R", "O", 0.12),
-]
-STEP_SCHEMA = "event_date date, ramp_days int, compute_type string, customer_segment string, magnitude double"
-
-# start_date, end_date, compute_type, customer_segment, magnitude
-SPIKES = [
-    ("1998-08-12", "1998-08-14", "R", "F", 1.8),
-    ("1998-08-12", "1998-08-14", "R", "O", 2.0),
-    ("1999-08-11", "1999-08-14", "A", "F", 2.2),
-    ("1999-08-13", "1999-08-16", "A", "F", 1.5),
-    ("1999-08-11", "1999-08-12", "N", "O", 1.5),
-]
-SPIKE_SCHEMA = "start_date date, end_date date, compute_type string, customer_segment string, magnitude double"
-
-# customer_segment, tier, reduction
-HOLIDAY_IMPACT = [
-    ("F", "major", 0.55), ("F", "moderate", 0.35), ("F", "minor", 0.15),
-    ("O", "major", 0.30), ("O", "moderate", 0.15), ("O", "minor", 0.05),
-]
-WEEKLY = {
-    "A": [1.00, 1.05, 1.10, 1.10, 1.05, 0.80, 0.75],
-    "N": [1.00, 1.05, 1.08, 1.08, 1.03, 0.72, 0.65],
-    "R": [1.02, 1.05, 1.08, 1.08, 1.05, 0.70, 0.60],
-}
-WEEKEND = [("F", 0.90), ("O", 1.15)]
 
 # a clearly growing measure, since the given panel is flat
 GROWTH_PER_DAY = 0.003

@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -27,10 +28,12 @@ def local_session(cpus=8, partitions=8):
 def shared_dir(spark):
     """The folder all executors see: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests) a temporary folder is set.
+    Only where the session names none and runs in one process (tests) a temporary folder is set.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="surgeline-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
@@ -47,3 +50,20 @@ def written(df, label):
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shipped(spark):
+    """Send this package to the workers once per application, so that they need no path to it."""
+    context = spark.sparkContext
+    if context.master.startswith("local[") or getattr(context, "_surgeline_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = f"{tempfile.mkdtemp(prefix='surgeline-package-')}/surgeline-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(at, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(path)  # served by the driver, which reads the file as long as it runs
+    context._surgeline_shipped = True
