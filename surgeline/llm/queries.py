@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surgeline.llm import sentencepiece_bpe
+from surgeline.llm import exact_dedup, mixing, sentencepiece_bpe, sharding
+from surgeline.session import written
 
 QUERIES = {}
 ORACLES = {}
@@ -46,3 +47,48 @@ def op1_sentencepiece(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     coded = sentencepiece_bpe.decode(sentencepiece_bpe.encode(docs, piece_model()).drop("text"), piece_model())
     return coded.select("doc_id", *[c.alias(n) for n, c in token_digests(coded).items()])
+
+
+SHARDS = 40
+
+
+@query()
+def op2_sharding(spark, folder):
+    """All documents in 40 shards of near equal bytes."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text_crc32", F.coalesce(F.crc32("text"), F.lit(0)).cast("long"))
+    return sharding.shard(docs, SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query(oracle=r"""WITH d AS (SELECT doc_id, COALESCE(text, '') AS text, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+ r AS (SELECT doc_id, sha256(norm) AS sha, length(text) AS n, norm FROM d),
+ g AS (SELECT *, FIRST_VALUE(doc_id) OVER w AS keep_id, ROW_NUMBER() OVER w AS rn, COUNT(*) OVER (PARTITION BY norm) AS group_size
+ FROM r WINDOW w AS (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST))
+ SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha AS text_sha256 FROM g""")
+def op7_exact_dedup(spark, folder):
+    """Groups of documents with equal texts, white space aside, and the row that stays."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return exact_dedup.exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query(oracle=r"""WITH d AS (SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+ md5('20260:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+ s AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+ w AS (SELECT source, source_size, CAST((ROW_NUMBER() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight FROM s),
+ o AS (SELECT *, 3.0 * source_size / weight AS cap,
+ COALESCE(SUM(3.0 * source_size) OVER f, 0.0) AS given, COALESCE(SUM(weight) OVER f, 0.0) AS used FROM w
+ WINDOW f AS (ORDER BY 3.0 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ l AS (SELECT MAX(level) AS level FROM (SELECT ((SELECT SUM(source_size) FROM s) - given) / ((SELECT SUM(weight) FROM w) - used) AS level, cap FROM o) AS q),
+ t AS (SELECT source, source_size, ROUND(LEAST(weight * level, 3.0 * source_size), 6) AS target FROM w, l),
+ p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(FLOOR(target / source_size) AS BIGINT) ELSE 0 END AS copies FROM t),
+ q AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.copies, CAST(FLOOR(p.target - p.copies * p.source_size + 0.5) AS BIGINT) AS rest,
+ COALESCE(SUM(d.size) OVER (PARTITION BY d.source ORDER BY k, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+ FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+ SELECT doc_id, size, source_size, target, CAST(copies * size + GREATEST(0, LEAST(size, rest - before)) AS BIGINT) AS taken FROM q""")
+def op9_mixing(spark, folder):
+    """Words that the target mix takes of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
+    sized = written(docs, "mix-documents")  # texts are read once
+    return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
