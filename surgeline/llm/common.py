@@ -32,3 +32,10 @@ def held_out(id_col, folds, fold):
 def texts_of(batch, column):
     """The column as Python strings, null as the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def sliced(batches, rows):
+    """The same Arrow batches in slices of at most ``rows`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -20,11 +20,12 @@ import pyarrow as pa
 
 from pyspark.sql import types as T
 
-from surgeline.llm.common import texts_of, with_column
+from surgeline.llm.common import sliced, texts_of, with_column
 
 MARK = "▁"
-WINDOW = 1 << 21  # characters of one text looked at together
-MEMO = 500_000  # words remembered by a task
+WINDOW = 1 << 20  # characters of one text looked at together
+MEMO = 150_000  # words remembered by a task
+ROWS = 256  # rows of an Arrow batch turned into Python objects together
 LONG_WORD = 2048  # symbols; a longer word is merged with a heap, whose cost is not quadratic
 NONE = np.iinfo(np.int32).max
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -370,7 +371,7 @@ def encode(df, model_path, text="text", out="ids"):
     """``df`` with the ids of each whole text in ``out`` (array<int>; null text: empty)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, ROWS):
             ids = encoder(model_path).encode(texts_of(batch, text))
             offsets = np.zeros(len(ids) + 1, np.int64)
             np.cumsum([len(x) for x in ids], out=offsets[1:])
@@ -389,7 +390,7 @@ def decode(df, model_path, ids="ids", out="decoded"):
 
     def run(batches):
         decoder = Decoder(model_path)
-        for batch in batches:
+        for batch in sliced(batches, ROWS):
             column = batch.column(ids)
             texts = [decoder.decode(x.values.to_numpy(zero_copy_only=False) if x.is_valid else []) for x in column]
             yield with_column(batch, out, pa.array(texts, pa.string()))
