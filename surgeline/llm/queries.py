@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surgeline.llm import exact_dedup, mixing, sentencepiece_bpe, sharding
+from surgeline.llm import exact_dedup, language_id, mixing, quality, sentencepiece_bpe, sharding, toxicity
+from surgeline.llm.common import held_out
 from surgeline.session import written
 
 QUERIES = {}
@@ -92,3 +93,38 @@ def op9_mixing(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
     sized = written(docs, "mix-documents")  # texts are read once
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _judged(spark, folder, label, folds, fold):
+    """Documents with text and held_out, and the labelled rows to learn from."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", held_out("doc_id", folds, fold))
+    labels = table(spark, folder, "labels").select("doc_id", label)
+    return docs, docs.filter(~F.col("held_out")).join(labels, "doc_id")
+
+
+def _verdict(scored):
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op4_quality(spark, folder):
+    """Quality of every whole text, learned from labels outside the held-out fifth."""
+    docs, labelled = _judged(spark, folder, "quality", 5, 0)
+    return _verdict(quality.score(docs, quality.fit(labelled)).drop("text"))
+
+
+@query()
+def op6_language(spark, folder):
+    """Language of every whole text, learned from documents outside the held-out fifth."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", held_out("doc_id", 5, 0))
+    model = language_id.fit(docs.filter(~F.col("held_out")))
+    return language_id.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op8_toxicity(spark, folder):
+    """Toxicity of every whole text, learned from labels outside the held-out fourth."""
+    docs, labelled = _judged(spark, folder, "toxic", 4, 2)
+    return _verdict(toxicity.score(docs, toxicity.fit(labelled)).drop("text"))
