@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surgeline.llm import exact_dedup, language_id, mixing, quality, sentencepiece_bpe, sharding, toxicity
+from surgeline.llm import ann, exact_dedup, language_id, mixing, quality, sentencepiece_bpe, sharding, toxicity
 from surgeline.llm.common import held_out
 from surgeline.session import written
 
@@ -128,3 +128,9 @@ def op8_toxicity(spark, folder):
     """Toxicity of every whole text, learned from labels outside the held-out fourth."""
     docs, labelled = _judged(spark, folder, "toxic", 4, 2)
     return _verdict(toxicity.score(docs, toxicity.fit(labelled)).drop("text"))
+
+
+@query()
+def op5_ann(spark, folder):
+    """The five nearest found for every fiftieth vector."""
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)

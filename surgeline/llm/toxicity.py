@@ -25,8 +25,8 @@ from surgeline.llm.textcodes import mixed, words
 BITS = 20
 DOCS = 12_000
 SHARD = 3_000  # labelled texts of a shard
-PASSES = 2
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 0.1
+PASSES = 3
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
 STEMS = (4, 5, 6)
 ROWS = 256
 
