@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surgeline.llm import ann, exact_dedup, language_id, mixing, quality, sentencepiece_bpe, sharding, toxicity
+from surgeline.llm import ann, exact_dedup, language_id, mixing, near_dedup, quality, sentencepiece_bpe, sharding, toxicity
 from surgeline.llm.common import held_out
 from surgeline.session import written
 
@@ -134,3 +134,10 @@ def op8_toxicity(spark, folder):
 def op5_ann(spark, folder):
     """The five nearest found for every fiftieth vector."""
     return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query()
+def op10_near_dedup(spark, folder):
+    """Class of near duplicates of every document, and the row that stays."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return near_dedup.near_classes(docs).select("doc_id", "class_id", "class_size", "kept")
