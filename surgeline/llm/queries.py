@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surgeline.llm import ann, exact_dedup, language_id, mixing, near_dedup, quality, sentencepiece_bpe, sharding, toxicity
+from surgeline.llm import ann, exact_dedup, language_id, mixing, near_dedup, quality, sentencepiece_bpe, sharding, substring_dedup, toxicity
 from surgeline.llm.common import held_out
 from surgeline.session import written
 
@@ -141,3 +141,10 @@ def op10_near_dedup(spark, folder):
     """Class of near duplicates of every document, and the row that stays."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return near_dedup.near_classes(docs).select("doc_id", "class_id", "class_size", "kept")
+
+
+@query()
+def op3_substring_dedup(spark, folder):
+    """Fuzzy passages of 50 words and more that stand in several documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return substring_dedup.passages(docs)
