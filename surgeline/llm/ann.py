@@ -27,14 +27,14 @@ from pyspark.sql import types as T
 from surgeline.session import written
 
 SAMPLE = 40_000  # vectors that the centroids are fitted on, at most
-LIST = 64  # vectors per centroid wanted
+LIST = 128  # vectors per centroid wanted
 MAX_LISTS = 4096
 SPLIT = 2.0  # a cluster of the sample larger than this times the mean is split
 DEGREE = 24  # links of a centroid
-BEAM = 96  # centroids that a search keeps, and so the most lists of a query
+BEAM = 128  # centroids that a search keeps, and so the most lists of a query
 REPLICA_RATIO = 0.10
 REPLICAS = 8
-RATIO = 0.30
+RATIO = 0.40
 BLOCK = 4000
 
 
@@ -122,7 +122,7 @@ class Graph:
         seen = np.zeros((n, k), bool)
         seen[:, self.entry] = True
         while True:
-            todo = ~expanded[rows, best]
+            todo = ~expanded[rows, best] & ~np.isneginf(sim)
             # the four nearest that were not followed yet
             order = np.argsort(np.where(todo, -sim, np.inf), axis=1)[:, :4]
             live = np.take_along_axis(todo, order, 1)
@@ -141,8 +141,6 @@ class Graph:
             sim = np.concatenate([sim, score], axis=1)
             keep = np.argsort(-sim, axis=1, kind="stable")[:, :beam]
             best, sim = np.take_along_axis(best, keep, 1), np.take_along_axis(sim, keep, 1)
-            empty = np.isneginf(sim)
-            expanded[rows.repeat(best.shape[1], 1)[empty], best[empty]] = True
         distance = np.sqrt(np.maximum(0.0, 2 - 2 * sim))
         return best, np.where(np.isneginf(sim), np.inf, distance)
 

@@ -51,9 +51,9 @@ def exact_dedup(df, id_col="doc_id", text="text", block=BLOCK, route=xx_route):
     turn = 0
     while True:
         cut = source.select("id", F.coalesce("n_points", F.lit(0)).alias("n_points"), F.sha2("norm", 256).alias("text_sha256"), _blocks(F.col("norm"), block).alias("blocks"))
-        key = lambda b, t=turn: route(b, t)
+        now = turn
         rows = written(
-            cut.select(F.monotonically_increasing_id().alias("uid"), "id", "n_points", "text_sha256", F.transform("blocks", key).alias("keys")),
+            cut.select(F.monotonically_increasing_id().alias("uid"), "id", "n_points", "text_sha256", F.transform("blocks", lambda b: route(b, now)).alias("keys")),
             "dedup-rows",
         )
         contents = source.select(F.explode(_blocks(F.col("norm"), block)).alias("block"))

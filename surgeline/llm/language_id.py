@@ -115,14 +115,17 @@ class Model:
         """Phrases of each lane; ``lanes``: one row per step."""
         state = np.zeros(lanes.shape[1], np.int32)
         count = np.zeros(lanes.shape[1], np.int32)
-        root = moves[: self.alphabet.size]
+        root = moves[: self.alphabet.size].copy()
+        root[self.alphabet.pad] = 0
         for symbols in lanes:
-            to = moves[state + symbols]
+            to, fresh = moves[state + symbols], root[symbols]
             missed = to < 0
-            count += missed
-            state = np.where(missed, root[symbols], to)
+            # the phrase under way ends; a symbol the sample has nowhere is a phrase by itself
+            count += missed & (state > 0)
+            count += missed & (fresh < 0)
+            state = np.where(missed, fresh, to)
             np.maximum(state, 0, out=state)
-        return count + 1
+        return count + (state > 0)
 
     def predict(self, texts):
         """Language and score of each text."""
