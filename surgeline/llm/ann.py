@@ -31,10 +31,10 @@ LIST = 128  # vectors per centroid wanted
 MAX_LISTS = 4096
 SPLIT = 2.0  # a cluster of the sample larger than this times the mean is split
 DEGREE = 24  # links of a centroid
-BEAM = 128  # centroids that a search keeps, and so the most lists of a query
+BEAM = 64  # centroids that a search keeps, and so the most lists of a query
 REPLICA_RATIO = 0.10
 REPLICAS = 8
-RATIO = 0.40
+RATIO = 0.30
 BLOCK = 4000
 
 
@@ -129,11 +129,12 @@ class Graph:
             if not live.any():
                 break
             pick = np.take_along_axis(best, order, 1)
-            expanded[rows, pick] |= live
+            r, c = np.nonzero(live)
+            expanded[r, pick[r, c]] = True
             found = self.links[pick].reshape(n, -1)
             found = np.sort(found, axis=1)
             fresh = ~seen[rows, found] & (np.diff(found, axis=1, prepend=-1) != 0) & np.repeat(live.any(1), found.shape[1]).reshape(n, -1)
-            seen[rows, found] |= fresh
+            seen[rows, found] = True  # a row without anything to follow is done
             score = np.full(found.shape, -np.inf, np.float32)
             r, c = np.nonzero(fresh)
             score[r, c] = np.einsum("ij,ij->i", x[r], self.centers[found[r, c]])
