@@ -3,8 +3,29 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from surgeline.session import written
+
 ACCURACY = 100_000
-SMALL_GROUP = 100_000
+SMALL_TABLE = 10_000  # rows of a table of groups that is sent to every task
+
+
+def spread_out(bounds: DataFrame) -> DataFrame:
+    """``bounds``, a row per group, written once; marked for broadcast if it has few rows.
+
+    With few groups one of them may hold most rows, which a shuffled join would put into one task;
+    with many groups the table may be too large to send around.
+    """
+    table = written(bounds, "bounds")
+    return F.broadcast(table) if table.count() <= SMALL_TABLE else table
+
+
+def _grid(centre: float, slack: float):
+    """Levels that lie closer the nearer they are to ``centre``, with both ends."""
+    steps, step = [0.0], 2 * slack
+    while step < 1:
+        steps += [step, -step]
+        step *= 3
+    return sorted({0.0, 1.0, *[centre + s for s in steps if 0 < centre + s < 1]})
 
 
 def exact_quantile(
@@ -15,35 +36,37 @@ def exact_quantile(
     centre: float,
     out: str = "quantile",
     accuracy: int = ACCURACY,
-    small: int = SMALL_GROUP,
 ) -> DataFrame:
     """Linear-interpolated quantile of ``value`` per group, as ``keys + [out, n]``.
 
     ``level`` maps the row-count Column to the wanted level, so the level may depend on the group
     size; ``centre`` is the level it tends to for large groups.
 
-    One group may hold most rows, so no group is sorted whole. A mergeable sketch first brackets
-    the wanted rank; all values below the bracket collapse into one count before the shuffle, and
-    only the few distinct values inside it are ranked. The result is exact: the sketch decides
-    what is looked at, never what is returned, and a missed bracket raises.
+    One group may hold most rows, so no group is sorted whole. A mergeable sketch of a grid of
+    levels brackets the wanted rank in a group of any size: the bracket's ends lie further from the
+    wanted level than the sketch can err, or are the least and the largest value. All values below the bracket
+    collapse into one count before the shuffle, and only the distinct values inside it are ranked. The
+    result is exact: the sketch decides what is looked at, never what is returned.
     """
-    slack = 4.0 / accuracy
-    levels = [max(centre - slack, 0.0), min(centre + slack, 1.0)]
+    slack = 2.0 / accuracy
+    grid = _grid(centre, slack)
     rows = df.filter(F.col(value).isNotNull())
     bounds = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(value).alias("_min"),
-        F.max(value).alias("_max"),
-        F.percentile_approx(value, levels, accuracy).alias("_sketch"),
+        F.count(F.lit(1)).alias("n"), F.percentile_approx(value, grid, accuracy).alias("_sketch")
     )
-    whole = F.col("n") <= small
+    wanted = level(F.col("n"))
+    margin = F.lit(slack) + F.lit(2.0) / F.col("n")  # the sketch's error, and the two neighbouring ranks
+    levels = F.array(*[F.lit(g) for g in grid])
+    below = F.size(F.filter(levels, lambda g: g <= wanted - margin))
+    above = F.size(F.filter(levels, lambda g: g >= wanted + margin))
     bounds = bounds.select(
         *keys,
         "n",
-        F.when(whole, F.col("_min")).otherwise(F.col("_sketch")[0]).alias("_lo"),
-        F.when(whole, F.col("_max")).otherwise(F.col("_sketch")[1]).alias("_hi"),
-        (level(F.col("n")) * (F.col("n") - 1)).alias("_h"),
+        F.element_at("_sketch", F.greatest(below, F.lit(1))).alias("_lo"),
+        F.element_at("_sketch", F.least(F.lit(len(grid)) - above + 1, F.lit(len(grid)))).alias("_hi"),
+        (wanted * (F.col("n") - 1)).alias("_h"),
     )
+    bounds = spread_out(bounds)
     counted = (
         rows.join(bounds, keys)
         .filter(F.col(value) <= F.col("_hi"))

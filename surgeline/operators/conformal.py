@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surgeline.functions.quantiles import SMALL_GROUP, exact_quantile
+from surgeline.functions.quantiles import exact_quantile, spread_out
 from surgeline.schema import TARGET
 
 TARGET_COVERAGE = 0.80
@@ -25,12 +25,11 @@ def conformity(df: DataFrame, target=TARGET) -> DataFrame:
 
 
 def conformal_adjustments(
-    df: DataFrame, by=("compute_type",), coverage=TARGET_COVERAGE, target=TARGET, small=SMALL_GROUP
+    df: DataFrame, by=("compute_type",), coverage=TARGET_COVERAGE, target=TARGET
 ) -> DataFrame:
     """Adjustment per type: ``by + [adj, n]``. May be negative, which narrows the band."""
     return exact_quantile(
-        conformity(df, target), list(by), "score", conformal_level(coverage), coverage,
-        out="adj", small=small,
+        conformity(df, target), list(by), "score", conformal_level(coverage), coverage, out="adj"
     )
 
 
@@ -38,7 +37,7 @@ def apply_conformal(df: DataFrame, adjustments: DataFrame, by=("compute_type",))
     """Shift both ends by adj * p50; a type without an adjustment keeps its band."""
     adj = F.coalesce(F.col("adj"), F.lit(0.0))
     return (
-        df.join(adjustments.select(*by, "adj"), list(by), "left")
+        df.join(spread_out(adjustments.select(*by, "adj")), list(by), "left")
         .withColumns({"p10": F.col("p10") - adj * F.col("p50"), "p90": F.col("p90") + adj * F.col("p50")})
         .drop("adj")
     )

@@ -35,7 +35,7 @@ def breaches(rolling: DataFrame, limit=15.0, min_days=7, by=("compute_type",)) -
 def weekly_coverage(df: DataFrame, by=("compute_type",), limit=70.0, target=TARGET) -> DataFrame:
     covered = F.col(target).between(F.col("p10"), F.col("p90")).cast("double")
     out = df.groupBy(*by, F.trunc(DATE, "week").alias("week")).agg(
-        F.avg(covered).alias("_c"), F.count(F.lit(1)).alias("n")
+        F.avg(covered).alias("_c"), F.count(covered).alias("n")
     )
     pct = F.col("_c") * 100
     return out.select(*by, "week", "n", pct.alias("coverage_pct"), (pct < limit).cast("int").alias("needs_refresh"))

@@ -108,6 +108,12 @@ def monthly_cost(c):
     return c * DAYS_PER_COST_MONTH * SPOT_RATE
 
 
+def monthly_shortfall(long: DataFrame, ceiling, by=("scenario",)) -> DataFrame:
+    """Average daily hours over the ceiling per month and their monthly cost."""
+    out = long.withColumn("_ceiling", ceiling).groupBy(*by, F.trunc(DATE, "MM").alias("month")).agg(shortfall().alias("shortfall"))
+    return out.withColumn("monthly_cost", monthly_cost(F.col("shortfall")))
+
+
 def period_shortfall(long: DataFrame, ceiling, first: str, last: str, by=("scenario",)) -> DataFrame:
     """Average daily hours over the ceiling within a period and their monthly cost."""
     inside = long.filter(F.col(DATE).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
@@ -120,11 +126,11 @@ GROWTH_VARIANTS = [("Growth +10%", 1.10), ("Growth -10%", 0.90)]
 EFFICIENCY_VARIANTS = [("Efficiency 10%", 0.90), ("Efficiency 20%", 0.80)]
 
 
-def sensitivity_paths(forecast, deals, compute_type, efficiency_start, start, keys=KEYS, name_width=35) -> DataFrame:
+def sensitivity_paths(forecast, deals, compute_type, efficiency_start, start, keys=KEYS) -> DataFrame:
     """Daily P90 total under every variant: (parameter, category, date, value).
 
     Only daily totals are varied. Growth and efficiency variants are a fixed list laid over each
-    day; a deal meets the days of its own series through an equi-join.
+    day; a deal, known by its full name, is laid over the days of the horizon.
     """
     at_start = F.lit(start).cast("date")
     gain = (F.col("compute_type") == compute_type) & (F.col(DATE) >= F.lit(efficiency_start).cast("date"))
@@ -141,24 +147,21 @@ def sensitivity_paths(forecast, deals, compute_type, efficiency_start, start, ke
         *[F.struct(F.lit(n).alias("parameter"), F.lit(c).alias("category"), v.alias("value")) for n, c, v in variants]
     )
     fixed = daily.select(DATE, F.inline(listed))
-    started = F.when(F.col(DATE) >= F.col("expected_date"), F.col("estimated_daily_hours")).otherwise(0.0)
-    per_deal = (
-        forecast.select(DATE, *keys)
-        .join(deals.select(*keys, "event_name", "expected_date", "estimated_daily_hours"), list(keys))
-        .withColumn("_add", started)
-        .join(daily.select(DATE, "_total"), DATE)
-        .select(
-            DATE,
-            F.substring("event_name", 1, name_width).alias("parameter"),
-            F.lit("Pipeline").alias("category"),
-            (total + F.col("_add")).alias("value"),
-        )
+    # every deal meets every day of the horizon, whether or not its series is forecast; a deal on a
+    # series without a forecast changes nothing
+    known = forecast.select(*keys).distinct().withColumn("_known", F.lit(True))
+    planned = deals.join(known, list(keys), "left")
+    added = F.when(F.col("_known") & (F.col(DATE) >= F.col("expected_date")), F.col("estimated_daily_hours")).otherwise(0.0)
+    horizon = F.sequence(daily.agg(F.min(DATE)).scalar(), daily.agg(F.max(DATE)).scalar())
+    days = planned.withColumn(DATE, F.explode(horizon))
+    per_deal = days.join(daily.select(DATE, "_total"), DATE).select(
+        DATE, F.col("event_name").alias("parameter"), F.lit("Pipeline").alias("category"), (total + added).alias("value")
     )
     return fixed.unionByName(per_deal)
 
 
 def _against_base(stats: DataFrame, column: str, out: str) -> DataFrame:
-    base = F.max(F.when(F.col("category") == "Base", F.col(column))).over(Window.partitionBy(F.lit(0)))
+    base = stats.filter(F.col("category") == "Base").agg(F.max(column)).scalar()
     return stats.withColumn(out, base)
 
 

@@ -215,20 +215,32 @@ def feature_table(spark, folder, exact_dates=False):
     )
 
 
-def trends(spark, folder, last=S.TRAIN_END, cap=trend.MAX_MONTHLY_GROWTH):
-    return trend.fit_trends(until(usage(spark, folder), last), cap, origin=origin(spark, folder))
+def panel(spark, folder):
+    """The daily panel, written once per session: everything fitted or scored reads it, not the facts."""
+    return once(spark, folder, "panel", lambda: usage(spark, folder))
+
+
+def _panel_origin(spark, folder):
+    return panel(spark, folder).agg(F.min("date")).scalar()
+
+
+def trends(spark, folder, last=S.TRAIN_END, cap=trend.MAX_MONTHLY_GROWTH, after=None):
+    rows = until(panel(spark, folder), last, after)
+    return trend.fit_trends(rows, cap, origin=_panel_origin(spark, folder))
 
 
 def fitted_profile(spark, folder, last=S.TRAIN_END):
-    rows = until(usage(spark, folder), last)
-    fits = trends(spark, folder, last)
-    return fits, profile.fit_profile(trend.residual_ratios(rows, fits))
+    """Trends and weekday profile of a training window, written once per session."""
+    fits = once(spark, folder, f"trends-{last}", lambda: trends(spark, folder, last))
+    rows = until(panel(spark, folder), last)
+    prof = once(spark, folder, f"profile-{last}", lambda: profile.fit_profile(trend.residual_ratios(rows, fits)))
+    return fits, prof
 
 
 def hybrid(spark, folder, last=None, after=None):
     """Profile-model predictions of panel rows with parameters from the training window."""
     fits, prof = fitted_profile(spark, folder)
-    rows = usage(spark, folder)
+    rows = panel(spark, folder)
     return profile.predict_profile(until(rows, last, after) if last else rows, fits, prof)
 
 
@@ -251,7 +263,7 @@ def calibrated(spark, folder):
 def forecast(spark, folder):
     """Profile-model forecast of the planning horizon with everything known by its start."""
     fits, prof = fitted_profile(spark, folder, S.TEST_END)
-    rows = P.scaffold(until(usage(spark, folder), S.TEST_END), S.HORIZON_START, S.HORIZON_DAYS)
+    rows = P.scaffold(until(panel(spark, folder), S.TEST_END), S.HORIZON_START, S.HORIZON_DAYS)
     return profile.predict_profile(rows, fits, prof).drop("trend")
 
 
@@ -272,11 +284,3 @@ def once(spark, folder, label, build):
     if key not in _BUILT:
         _BUILT[key] = written(build(), label)
     return _BUILT[key]
-
-
-def remembered(spark, folder, label, build):
-    """Keep a fitted model for the session, as a served model would be."""
-    key = (spark.sparkContext.applicationId, folder, label)
-    if key not in _BUILT:
-        _BUILT[key] = build()
-    return _BUILT[key]
