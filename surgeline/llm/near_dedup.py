@@ -10,8 +10,9 @@ components of the links; of each class the row with the smallest id stays.
 Copies (equal in words) are folded first, so a group of copies costs one row per copy and no pairs.
 Within a bucket of candidates not all pairs are formed: in each round some pivots are compared with
 the members of other components; a pivot is done when it has met all others, a bucket when its
-members are one component. Every pair of a bucket is thus either compared or already connected, and no link
-between components is lost. The pivots of a bucket double from round to round.
+members are one component. Every pair of a bucket is thus either compared or connected by verified links,
+and no link between components is lost. Pivots are the texts that share most sketches with others, as the
+original of a group of near copies does, so the first round connects most buckets; later rounds take four times as many.
 
 Words are runs of letters, marks and digits in lower case. Texts of fewer than five words have one
 k-mer, all their words; null, empty and other texts without a word are alone in their class. Long
@@ -33,8 +34,8 @@ from surgeline.session import written
 
 K = 5
 SIMILARITY = 0.8
-SKETCHES = 12
-TAKEN = 3
+SKETCHES = 18
+TAKEN = 4
 ROWS = 512
 _ODD = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -106,18 +107,19 @@ def similarity(a, b):
 
     Common k-mers are matched pairs; the longest chain that rises in both texts is the alignment. With the
     wanted similarity no aligned pair can be further from the diagonal than the k-mers left unaligned,
-    which is the band.
+    which is the band. Below the wanted similarity the result is an upper bound.
     """
     _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    total = len(a) + len(b)
+    jaccard = len(i) / (total - len(i)) if total > len(i) else 0.0
+    if jaccard < SIMILARITY:
+        return jaccard  # aligned it is no more
     order = np.argsort(i)
     i, j = i[order], j[order]
-    total = len(a) + len(b)
-    most = len(i)
-    if most < SIMILARITY * (total - most):
-        return most / (total - most) if total > most else 0.0  # even unordered it is less
     band = int((1 - SIMILARITY) / (1 + SIMILARITY) * total) + 1
     j = j[np.abs(i - j) <= band]
-    if len(j) > 1 and (np.diff(j) < 0).any():
+    aligned = len(j)
+    if aligned > 1 and (np.diff(j) < 0).any():
         ends = []
         for x in j.tolist():
             at = bisect_left(ends, x)
@@ -126,8 +128,6 @@ def similarity(a, b):
             else:
                 ends[at] = x
         aligned = len(ends)
-    else:
-        aligned = len(j)
     return aligned / (total - aligned)
 
 
@@ -168,32 +168,26 @@ def _kmers(data):
 
 
 def _verify(batches):
-    """Links among the pairs (a, b) with their words."""
+    """The pairs (a, b) with their words: linked or not."""
     last, kmers = None, None
     for batch in sliced(batches, 256):
-        out_a, out_b = [], []
-        for a, b, wa, wb in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "words_a", "words_b")]):
+        found = []
+        for a, wa, wb in zip(*[batch.column(c).to_pylist() for c in ("a", "words_a", "words_b")]):
             if a != last:
                 last, kmers = a, _kmers(wa)
-            if similarity(kmers, _kmers(wb)) >= SIMILARITY:
-                out_a.append(a)
-                out_b.append(b)
-        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+            found.append(similarity(kmers, _kmers(wb)) >= SIMILARITY)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.bool_())], names=["a", "b", "linked"])
 
 
-def components(links, known=None):
+def components(links):
     """(node, comp) of every node of ``links`` (a, b): comp is the smallest node connected to it.
 
     Labels go to neighbours and then jump to the label's own label, so that even long chains take few
-    rounds. ``known``: labels of an earlier call, which these links extend.
+    rounds.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = written(both, "near-edges")
-    nodes = both.select(F.col("a").alias("node")).distinct()
-    if known is None:
-        labels = written(nodes.select("node", F.col("node").alias("comp")), "near-labels")
-    else:
-        labels = written(nodes.join(known, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "near-labels")
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("comp")), "near-labels")
     while True:
         seen = both.join(labels.select(F.col("node").alias("b"), F.col("comp")), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         step = written(labels.join(seen, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp")), "near-step")
@@ -205,6 +199,57 @@ def components(links, known=None):
             return labels
 
 
+def extended(labels, links):
+    """``labels`` (node, comp) after further ``links``; only the graph of components is searched again."""
+    if labels is None:
+        return components(links)
+    ends = links
+    for end in ("a", "b"):
+        known = labels.select(F.col("node").alias(end), F.col("comp").alias(f"c{end}"))
+        ends = ends.join(known, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+    between = written(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a != b"), "near-merges")
+    if between.isEmpty():
+        return labels
+    merged = components(between)
+    new = merged.select("node").join(labels, "node", "left_anti").select("node", F.col("node").alias("comp"))
+    moved = labels.unionByName(new).join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+    return written(moved.select("node", F.coalesce("to", "comp").alias("comp")), "near-labels")
+
+
+def classes(members, content_words):
+    """(node, comp) of all reps that are linked to another one; None if no bucket holds two.
+
+    ``members``: key, rep, n; ``content_words``: uid, words of every rep.
+    """
+    held = members.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    active = written(members.join(held, "key"), "near-active")
+    central = active.groupBy("rep").agg(F.sum("held").alias("central"))
+    active = written(active.join(central, "rep").select("key", "rep", "n", "central", F.col("rep").alias("comp")), "near-active")
+    known_words = content_words.join(active.select(F.col("rep").alias("uid")).distinct(), "uid")
+    known_words = written(known_words, "near-words")
+    tested, labels, pivots = None, None, 1
+    while not active.isEmpty():
+        w = Window.partitionBy("key").orderBy(F.desc("central"), "rep")
+        chosen = active.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= pivots)
+        chosen = written(chosen.select("key", F.col("rep").alias("p"), F.col("n").alias("np"), F.col("comp").alias("cp")), "near-pivots")
+        met = active.join(chosen, "key").filter((F.col("comp") != F.col("cp")) & (F.least("n", "np") >= SIMILARITY * F.greatest("n", "np")))
+        pairs = met.select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        with_a = pairs.join(known_words.select(F.col("uid").alias("a"), F.col("words").alias("words_a")), "a")
+        with_b = with_a.join(known_words.select(F.col("uid").alias("b"), F.col("words").alias("words_b")), "b")
+        new = written(with_b.select("a", "b", "words_a", "words_b").mapInArrow(_verify, "a long, b long, linked boolean"), "near-tested")
+        tested = new if tested is None else tested.unionByName(new)
+        labels = extended(labels, new.filter("linked").select("a", "b"))
+        rest = active.drop("comp").join(chosen.select("key", F.col("p").alias("rep")), ["key", "rep"], "left_anti")
+        rest = rest.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        rest = written(rest, "near-rest")
+        open_keys = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("key")
+        active = written(rest.join(open_keys, "key"), "near-active")
+        pivots *= 4
+    return labels
+
+
 def near_classes(df, id_col="doc_id", text="text"):
     """One row per row of ``df``: id, class_id (smallest id of the class), class_size, kept, mark, points.
 
@@ -219,36 +264,8 @@ def near_classes(df, id_col="doc_id", text="text"):
     texts = written(
         rows.filter("n > 0").groupBy("n", "c0", "c1").agg(F.min("uid").alias("rep"), F.first("keys").alias("keys")), "near-texts"
     )
-    members = written(texts.select("rep", "n", F.xxhash64("c0", "c1").alias("prio"), F.explode("keys").alias("key")), "near-members")
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    active = written(members.join(shared.select("key"), "key"), "near-active")
-    nodes = active.select(F.col("rep").alias("uid")).distinct()
-    known_words = written(rows.select("uid", "words").join(nodes, "uid"), "near-words")
-    links, labels, pivots = None, None, 1
-    while not active.isEmpty():
-        labelled_members = active
-        if labels is None:
-            labelled_members = active.withColumn("comp", F.col("rep"))
-        w = Window.partitionBy("key").orderBy("prio", "rep")
-        ranked = labelled_members.withColumn("place", F.row_number().over(w))
-        chosen = written(ranked.filter(F.col("place") <= pivots), "near-pivots")
-        p = chosen.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("prio").alias("pa"))
-        met = labelled_members.join(p, "key").filter(
-            (F.col("comp") != F.col("ca")) & (F.least("n", "na") >= SIMILARITY * F.greatest("n", "na")) & (F.col("rep") != F.col("a"))
-        )
-        first = F.struct("pa", "a") < F.struct("prio", "rep")
-        pairs = met.select(F.when(first, F.col("a")).otherwise(F.col("rep")).alias("a"), F.when(first, F.col("rep")).otherwise(F.col("a")).alias("b")).distinct()
-        with_a = pairs.join(known_words.select(F.col("uid").alias("a"), F.col("words").alias("words_a")), "a")
-        with_b = with_a.join(known_words.select(F.col("uid").alias("b"), F.col("words").alias("words_b")), "b")
-        new = written(with_b.select("a", "b", "words_a", "words_b").mapInArrow(_verify, "a long, b long"), "near-links")
-        links = new if links is None else written(links.unionByName(new), "near-links")
-        labels = components(links, labels)
-        rest = active.drop("comp").join(chosen.select("key", "rep"), ["key", "rep"], "left_anti")
-        rest = rest.join(labels.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        rest = written(rest, "near-rest")
-        open_keys = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
-        active = written(rest.join(open_keys.select("key"), "key"), "near-active")
-        pivots *= 2
+    members = written(texts.select("rep", "n", F.explode("keys").alias("key")), "near-members")
+    labels = classes(members, rows.select("uid", "words"))
     content = texts.select("n", "c0", "c1", "rep")
     placed = rows.drop("keys", "words").join(content, ["n", "c0", "c1"], "left")
     placed = placed.withColumn("rep", F.coalesce("rep", "uid"))
