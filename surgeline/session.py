@@ -55,7 +55,7 @@ def written(df, label):
 def shipped(spark):
     """Send this package to the workers once per application, so that they need no path to it."""
     context = spark.sparkContext
-    if context.master.startswith("local[") or getattr(context, "_surgeline_shipped", False):
+    if getattr(context, "_surgeline_shipped", False):
         return
     package = os.path.dirname(os.path.abspath(__file__))
     path = f"{tempfile.mkdtemp(prefix='surgeline-package-')}/surgeline-{uuid.uuid4().hex[:8]}.zip"
