@@ -91,7 +91,7 @@ def mix(df, id_col="doc_id", source="source", size="size", weights=WEIGHTS, max_
     one: the whole size, nothing, or for one row per source something between.
     """
     n_size, key, bin_, none, src = (free_name(df, n) for n in ("mix_size", "mix_key", "mix_bin", "mix_none", "mix_source"))
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     rows = df.withColumns({n_size: F.coalesce(F.col(size), F.lit(0)).cast("long"), key: order}).withColumn(bin_, F.substring(key, 1, 3))
     rows = rows.withColumns({none: F.col(source).isNull(), src: F.coalesce(F.col(source), F.lit(""))})
     sized = rows.select(F.col(source).alias("source"), F.col(n_size).alias("size"), F.col(bin_).alias("bin"))

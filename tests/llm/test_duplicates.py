@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from surgeline.llm import exact_dedup, near_dedup, substring_dedup
+from tests_llm_brute import brute_classes, lcs_step
 
 
 def brute_groups(rows):
@@ -51,42 +52,6 @@ def test_route_that_is_not_one_to_one_is_drawn_anew(docs):
     check_exact(docs, block=16, route=route)
 
 
-def brute_similarity(a, b):
-    """Longest common subsequence of labelled five-word runs, on plain lists."""
-    def runs(text):
-        w = re.findall(r"[^\W_]+", (text or "").lower())
-        k = [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else []
-        return [(x, k[:i].count(x)) for i, x in enumerate(k)]
-
-    a, b = runs(a), runs(b)
-    row = [0] * (len(b) + 1)
-    for x in a:
-        row = _step(row, x, b)
-    return row[-1] / max(1, len(a) + len(b) - row[-1])
-
-
-def _step(row, x, b):
-    new = [0]
-    for j, y in enumerate(b):
-        new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
-    return new
-
-
-def brute_classes(texts):
-    parent = list(range(len(texts)))
-
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i in range(len(texts)):
-        for j in range(i):
-            if brute_similarity(texts[i], texts[j]) >= 0.8:
-                parent[find(i)] = find(j)
-    return [find(i) for i in range(len(texts))]
-
-
 def same_partition(a, b):
     return len(set(zip(a, b))) == len(set(a)) == len(set(b))
 
@@ -106,8 +71,8 @@ def edited(rng, words, share):
 
 def test_near_classes_against_brute_force(spark):
     rng = random.Random(11)
-    texts, base = [], []
-    for g in range(12):
+    texts = []
+    for _ in range(12):
         words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([3, 30, 120]))]
         texts += [" ".join(words)] + [" ".join(edited(rng, words, rng.choice([0.01, 0.02, 0.05]))) for _ in range(6)]
     rows = list(enumerate(texts))
@@ -186,7 +151,7 @@ def test_banded_equals_longest_common_subsequence():
         b = np.array([rng.randrange(5) for _ in range(rng.randint(0, 12))])
         row = [0] * (len(b) + 1)
         for v in a:
-            row = _step(row, v, b.tolist())
+            row = lcs_step(row, v, b.tolist())
         assert substring_dedup.banded(a, b) == row[-1]
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surgeline.llm import mixing, sharding
+from tests_llm_brute import water
 
 
 def check_shards(rows, shards, slack):
@@ -45,21 +46,6 @@ def test_odd_rows(docs, none, clashing):
     assert sharding.shard(none, 3).collect() == []
 
 
-def water(sizes, weights, most=3.0):
-    """Targets by repeated clamping, on plain numbers."""
-    total, fixed = sum(sizes), {}
-    while True:
-        free = [i for i in range(len(sizes)) if i not in fixed]
-        if not free:
-            return [fixed[i] for i in range(len(sizes))]
-        rest = total - sum(fixed.values())
-        share = {i: rest * weights[i] / sum(weights[j] for j in free) for i in free}
-        over = [i for i in free if share[i] > most * sizes[i] + 1e-9]
-        if not over:
-            return [fixed.get(i, share.get(i)) for i in range(len(sizes))]
-        fixed.update({i: most * sizes[i] for i in over})
-
-
 @pytest.mark.parametrize("sizes", [[100, 100, 100], [10, 1000, 5], [1, 1, 1000, 7, 7], [0, 10, 3], [5]])
 def test_targets_and_taken(spark, sizes):
     names = [chr(97 + i) for i in range(len(sizes) - 1)] + [None]
