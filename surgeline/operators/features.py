@@ -159,7 +159,7 @@ def next_day_features(usage: DataFrame, holidays: DataFrame, keys=KEYS, target=T
     last = usage.select(F.max(DATE)).scalar()
     start = first_date(usage) if origin is None else origin
     back = F.datediff(last, DATE) + 1
-    recent = usage.withColumn("_back", back)
+    recent = usage.filter(back <= max(LAGS)).withColumn("_back", back)
     aggs = [F.max(F.when(F.col("_back") == k, F.col(target))).alias(f"lag_{k}") for k in LAGS]
     for w in WINDOWS:
         inside = F.when(F.col("_back") <= w, F.col(target))
@@ -167,7 +167,8 @@ def next_day_features(usage: DataFrame, holidays: DataFrame, keys=KEYS, target=T
             F.avg(inside).alias(f"rolling_mean_{w}"),
             F.stddev_samp(inside).alias(f"rolling_std_{w}"),
         ]
-    rows = recent.groupBy(*keys).agg(*aggs).withColumn(DATE, F.date_add(last, 1))
+    catalogue = usage.select(*keys).distinct()  # a series silent for a year still gets its row
+    rows = catalogue.join(recent.groupBy(*keys).agg(*aggs), list(keys), "left").withColumn(DATE, F.date_add(last, 1))
     rows = with_holidays(with_calendar(with_trend_feature(rows, start)), holidays)
     return rows.withColumn("series_id", series_id(keys)).select(DATE, *FEATURE_COLUMNS)
 
