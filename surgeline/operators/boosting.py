@@ -131,11 +131,11 @@ def train_quantile_trees(
     label: str,
     features=MODEL_FEATURES,
     quantiles=QUANTILES,
-    rounds=40,
+    rounds=2000,
     rate=0.2,
     depth=5,
     min_leaf=50,
-    patience=10,
+    patience=50,
     feature_share="0.8",
     checkpoint_every=8,
     seed=42,
@@ -143,7 +143,8 @@ def train_quantile_trees(
     """Boost until ``rounds`` or until no quantile improved for ``patience`` validation rounds.
 
     ``is_val`` is a Column telling validation rows from training rows, so that the features are
-    computed once for both. Trees after the best validation round are dropped, per quantile.
+    computed once for both. Trees after the best validation round are dropped, per quantile, all of them if
+    none is better than the constant. Without validation rows nothing can stop early: ``rounds`` are run and kept.
     """
     names = list(quantiles)
     spark = rows.sparkSession
@@ -158,7 +159,15 @@ def train_quantile_trees(
         "x", F.col(label).alias("y"), "is_val", *[F.lit(base[n]).alias(n) for n in names]
     ).persist(StorageLevel.MEMORY_AND_DISK)
 
-    tables, losses, best = [], [], {n: (np.inf, 0) for n in names}
+    def validation_loss(frame):
+        gap = {n: F.col("y") - F.col(n) for n in names}
+        return frame.filter("is_val").agg(
+            *[F.avg(F.greatest(gap[n] * quantiles[n], gap[n] * (quantiles[n] - 1))).alias(n) for n in names]
+        ).first()
+
+    # the constant alone counts as round 0, so that trees are kept only if they help
+    tables, losses, first = [], [], validation_loss(state)
+    best = {n: (np.inf if first[n] is None else first[n], 0) for n in names}
     pool = ThreadPoolExecutor(len(names))
     try:
         for r in range(rounds):
@@ -207,10 +216,7 @@ def train_quantile_trees(
             if (r + 1) % checkpoint_every == 0:
                 new = new.checkpoint(eager=False)
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
-            gap = {n: F.col("y") - F.col(n) for n in names}
-            loss = new.filter("is_val").agg(
-                *[F.avg(F.greatest(gap[n] * quantiles[n], gap[n] * (quantiles[n] - 1))).alias(n) for n in names]
-            ).first()
+            loss = validation_loss(new)
             state.unpersist()
             state = new
             losses.append({n: loss[n] for n in names})
