@@ -180,3 +180,61 @@ def test_passages(spark, docs, none, clashing):
     assert {r.doc_id for r in found} == {1, 2, 3}
     assert sorted(found, key=str) == sorted(substring_dedup.passages(clashing).collect(), key=str)
     assert substring_dedup.passages(none).collect() == []
+
+
+def common_runs(a, b, least=50):
+    """Maximal runs of at least ``least`` equal words of two texts, as (start in a, start in b, words)."""
+    out = []
+    for d in range(-len(b) + 1, len(a)):
+        run = 0
+        for i in range(max(0, d), min(len(a), len(b) + d) + 1):
+            if i < min(len(a), len(b) + d) and a[i] == b[i - d]:
+                run += 1
+                continue
+            if run >= least:
+                out.append((i - run, i - run - d, run))
+            run = 0
+    return out
+
+
+def check_runs(spark, texts):
+    """Every word of a common run of two texts is in a passage of either text, but for the thinned ends."""
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    out = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    covered = defaultdict(set)
+    for r in out:
+        covered[r.doc_id] |= set(range(r.start, r.end))
+        assert r.doc_id != r.other_doc_id
+    found = 0
+    for i, a in enumerate(texts):
+        for j in range(i):
+            for x, y, n in common_runs(a, texts[j]):
+                found += 1
+                assert set(range(x + 8, x + n - 8)) <= covered[i]
+                assert set(range(y + 8, y + n - 8)) <= covered[j]
+    return out, found
+
+
+def test_passage_whose_fragments_stand_in_earlier_and_later_texts(spark):
+    rng = random.Random(21)
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    shared = fresh(60)
+    parts = [shared[i : i + 22] for i in (0, 13, 26, 38)]  # every seed of the passage stands in one of them
+    before, after = ([fresh(40) + p + fresh(40) for p in parts] for _ in range(2))
+    texts = [*before, fresh(30) + shared + fresh(70), fresh(90) + shared + fresh(10), *after]
+    out, found = check_runs(spark, texts)
+    assert found == 1
+    assert {(r.doc_id, r.other_doc_id) for r in out} == {(4, 5), (5, 4)}
+
+
+def test_families_of_overlapping_fragments_against_brute_force(spark):
+    rng = random.Random(22)
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    texts = []
+    for _ in range(3):
+        base = fresh(120)
+        for _ in range(9):
+            at, n = rng.randrange(70), rng.choice([20, 30, 55, 70, 90])
+            texts.append(fresh(rng.randrange(60)) + base[at : at + n] + fresh(rng.randrange(60)))
+    rng.shuffle(texts)
+    assert check_runs(spark, texts)[1] > 10
