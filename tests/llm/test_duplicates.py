@@ -238,3 +238,30 @@ def test_families_of_overlapping_fragments_against_brute_force(spark):
             texts.append(fresh(rng.randrange(60)) + base[at : at + n] + fresh(rng.randrange(60)))
     rng.shuffle(texts)
     assert check_runs(spark, texts)[1] > 10
+
+
+def test_recall_of_passages_at_all_identities(spark):
+    """Pairs of texts around a passage in which a share of the words was changed."""
+    rng = random.Random(23)
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    rows, wanted, kinds = [], defaultdict(list), {0.75: 0.75, 0.8: 0.85, 0.85: 0.95, 0.9: 1.0, 0.95: 1.0, "eighth": 1.0}
+    for kind in kinds:
+        for _ in range(20):
+            a = fresh(80)
+            at = range(4, 80, 8) if kind == "eighth" else rng.sample(range(80), round(80 * (1 - kind)))
+            b = list(a)
+            for i in at:
+                b[i] = fresh(1)[0]
+            wanted[kind].append((len(rows), len(rows) + 1))
+            for passage in (a, b):
+                rows.append((len(rows), " ".join(fresh(rng.randrange(40)) + passage + fresh(rng.randrange(40)))))
+    found = {(r.doc_id, r.other_doc_id) for r in substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for kind, least in kinds.items():
+        assert sum(p in found for p in wanted[kind]) >= least * 20, kind
+
+
+def test_reach_follows_the_words_wanted(spark):
+    words = [f"w{i}" for i in range(22)]
+    rows = [(1, " ".join(["a", "b", *words])), (2, " ".join([*words, "c"]))]
+    out = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string"), min_words=20).collect()
+    assert {(r.doc_id, r.start, r.end) for r in out} == {(1, 2, 24), (2, 0, 22)}
