@@ -91,3 +91,19 @@ def test_registered_classifiers_leave_the_held_out_rows_alone(spark, sf):
         rows = queries.QUERIES[name](spark, sf).select("doc_id", "held_out").collect()
         assert len(rows) == 200
         assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == fold) for r in rows)
+
+
+def test_quality_is_fitted_on_whole_texts(spark):
+    """What tells the labels apart stands behind 5,000 characters that say nothing."""
+    rng = random.Random(4)
+    words = ["house", "river", "walks", "green", "under", "light", "paper", "seven"]
+    rows = []
+    for i in range(400):
+        good = i % 2
+        opening = " ".join(rng.choice(["amber", "crane", "delta", "ember"]) for _ in range(900))
+        tail = " ".join(rng.choice(words) if good else rng.choice(words)[::-1] + "###" for _ in range(1500))
+        rows.append((i, opening + " " + tail, good))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    train, test = df.filter("doc_id % 3 > 0"), df.filter("doc_id % 3 = 0")
+    got = quality.score(test, quality.fit(train)).collect()
+    assert sum((r.score >= 0.3) == bool(r.quality) for r in got) >= 0.95 * len(got)
