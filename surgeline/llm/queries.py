@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surgeline.llm import ann, exact_dedup, language_id, mixing, near_dedup, quality, sentencepiece_bpe, sharding, substring_dedup, toxicity
+from surgeline.llm import (
+    alignment, ann, decontamination, exact_dedup, language_id, mixing, near_dedup, quality, sentencepiece_bpe, sharding, substring_dedup, toxicity, zone_maps,
+)
 from surgeline.llm.common import held_out
 from surgeline.session import written
 
@@ -32,6 +34,13 @@ def piece_model():
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_model():
+    """Path of the public byte-level BPE model."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def token_digests(df, ids="ids", decoded="decoded"):
     """n_tokens and the digests of the ids and the decoded text."""
     joined = F.concat_ws(",", F.col(ids).cast(T.ArrayType(T.StringType())))
@@ -148,3 +157,58 @@ def op3_substring_dedup(spark, folder):
     """Fuzzy passages of 50 words and more that stand in several documents."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return substring_dedup.passages(docs)
+
+
+_WORDS = r"regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(oracle=f"""WITH d AS MATERIALIZED (SELECT ROW_NUMBER() OVER () AS rn, doc_id, {_WORDS} AS w FROM documents),
+ b AS (SELECT COALESCE(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+ bi AS (SELECT item, w, LEAST(10, len(w)) AS m, UNNEST(range(1, len(w) - LEAST(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+ bw AS MATERIALIZED (SELECT DISTINCT item, m, array_to_string(w[i:i + m - 1], ' ') AS win FROM bi),
+ l AS (SELECT DISTINCT m FROM bw),
+ di AS (SELECT rn, w, m, UNNEST(range(1, len(w) - m + 2)) AS i FROM d, l WHERE len(w) >= m),
+ h AS MATERIALIZED (SELECT rn, i, m, item FROM (SELECT rn, i, m, array_to_string(w[i:i + m - 1], ' ') AS win FROM di) AS x JOIN bw USING (m, win)),
+ p AS (SELECT rn, COUNT(DISTINCT j) AS n_hit FROM (SELECT rn, UNNEST(range(i, i + m)) AS j FROM (SELECT DISTINCT rn, i, m FROM h) AS y) AS z GROUP BY rn),
+ t AS (SELECT rn, COUNT(*) AS n_items, STRING_AGG(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rn, item FROM h) AS u GROUP BY rn)
+ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(COALESCE(p.n_hit, 0) AS BIGINT) AS n_hit, CAST(COALESCE(t.n_items, 0) AS BIGINT) AS n_items,
+ sha256(COALESCE(t.items, '')) AS items_sha256, COALESCE(p.n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN p USING (rn) LEFT JOIN t USING (rn)""")
+def op11_decontamination(spark, folder):
+    """Words of every document inside ten words or more of a benchmark item, and those items."""
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated")
+
+
+@query()
+def op12_alignment(spark, folder):
+    """Groups and links of the tokens of two tokenizers over every whole text."""
+    return alignment.align(table(spark, folder, "documents"), byte_model(), piece_model())
+
+
+CLUSTERS, ROUNDS, COMPONENTS, CLUSTER_SEED = 40, 5, 64, 2
+
+
+def _cluster_sql():
+    """The rounds written out, one pair of views each."""
+    views = [f"""v AS MATERIALIZED (SELECT ROW_NUMBER() OVER () AS rn, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+ FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = {COMPONENTS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT ROW_NUMBER() OVER (ORDER BY h, v) - 1 AS c, v FROM (SELECT sha256('{CLUSTER_SEED}:' || COALESCE(CAST(vec_id AS VARCHAR), '')) AS h, v
+ FROM v ORDER BY h, v LIMIT {CLUSTERS}) AS s)"""]
+    dot = "list_inner_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[]))"
+    far = f"CAST({dot.format(a='v.v', b='v.v')} - 2 * {dot.format(a='v.v', b='k.v')} + {dot.format(a='k.v', b='k.v')} AS BIGINT)"
+    for r in range(ROUNDS + 1):
+        views.append(f"""a{r} AS MATERIALIZED (SELECT rn, vec_id, v, c, d FROM (SELECT rn, vec_id, v, c, d, ROW_NUMBER() OVER (PARTITION BY rn ORDER BY d, c) AS o
+ FROM (SELECT v.rn, v.vec_id, v.v, k.c, {far} AS d FROM v, c{r} k) AS x) AS y WHERE o = 1)""")
+        if r < ROUNDS:
+            views.append(f"""c{r + 1} AS MATERIALIZED (SELECT k.c, COALESCE(n.v, k.v) AS v FROM c{r} k LEFT JOIN (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+ SELECT c, i, SUM(x) AS s, COUNT(*) AS n FROM (SELECT c, UNNEST(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) AS e GROUP BY c, i) AS g GROUP BY c) n ON n.c = k.c)""")
+    body = f"""SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance, CAST(SUM(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(SUM(a.d) OVER () AS BIGINT) AS inertia,
+ sha256(array_to_string(k.v, ',')) AS centroid_sha256 FROM a{ROUNDS} a JOIN c{ROUNDS} k ON k.c = a.c"""
+    return "WITH " + ",\n".join(views) + "\n" + body
+
+
+@query(oracle=_cluster_sql())
+def op13_centroids(spark, folder):
+    """Cluster, distance and inertia of every vector after five exact rounds."""
+    found = zone_maps.cluster(table(spark, folder, "embeddings"), CLUSTERS, ROUNDS, COMPONENTS, CLUSTER_SEED)
+    return found.withColumns({c: F.col(c).cast("long") for c in ("cluster_inertia", "inertia")})
