@@ -24,7 +24,7 @@ def fit_profile(ratios: DataFrame, by=KEYS) -> DataFrame:
 
 def predict_profile(df: DataFrame, trends: DataFrame, profile: DataFrame, by=KEYS) -> DataFrame:
     """Add ``trend`` and p10/p50/p90, floored at zero."""
-    rows = with_trend(df, trends).withColumn("day_of_week", F.weekday(DATE))
+    rows = with_trend(df, trends, by).withColumn("day_of_week", F.weekday(DATE))
     rows = rows.join(profile, [*by, "day_of_week"], "left")
     cols = {n: F.greatest(rebuild(f"log_{n}"), F.lit(0.0)) for n in QUANTILES}
     # a weekday never seen in training has no profile and must stay NULL

@@ -3,11 +3,13 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from surgeline.operators import accuracy, conformal, features, monitor, scenario, trend
+from surgeline.operators import accuracy, backtest, conformal, features, monitor, profile, scenario, trend
 from surgeline.plans import settings as S
 from surgeline.plans import views as V
 from surgeline.plans.registry import query
+from surgeline.session import new_path, written
 from surgeline.sources import panel as P
+from surgeline.sources import runs
 
 KEYED = "date, compute_type, customer_segment"
 SERIES = "compute_type, customer_segment"
@@ -192,6 +194,26 @@ def calibrated_coverage(spark, folder):
     return accuracy.by_dims(V.calibrated(spark, folder), {"coverage": accuracy.coverage()})
 
 
+@query("trend_params_json", "log_intercept daily_growth_rate", 8, oracle=V.sql("tp", f"SELECT {SERIES}, log_intercept, daily_growth_rate, origin_date FROM tp"))
+def trend_params_json(spark, folder):
+    """Trend parameters written as JSON payloads, one per series, and decoded again with a declared schema."""
+    path = new_path(spark, "trend-json")
+    runs.write_parts({"trends": V.fitted_profile(spark, folder)[0].drop("uncapped_rate")}, path)
+    return runs.load_parts(spark, path, ["trends"])["trends"]
+
+
+@query("load_components", Q3, oracle=V.sql("cal", f"SELECT {KEYED}, CASE WHEN p50 IS NOT NULL THEN LEAST(GREATEST(p10, 0.0), p50) END AS p10, p50, CASE WHEN p50 IS NOT NULL THEN GREATEST(p90, p50) END AS p90 FROM cal"))
+def load_components(spark, folder):
+    """Model parts stored, loaded again, and test rows served from what was loaded."""
+    path = new_path(spark, "components")
+    fits, shape = V.fitted_profile(spark, folder)
+    runs.write_parts({"trends": fits.drop("uncapped_rate"), "profile": shape, "conformal": V.adjustments(spark, folder).drop("n")}, path)
+    parts = runs.load_parts(spark, path, ["trends", "profile", "conformal"])
+    rows = V.until(V.panel(spark, folder), S.TEST_END, S.VAL_END)
+    scored = profile.predict_profile(rows, parts["trends"], parts["profile"])
+    return conformal.serve(scored, parts["conformal"]).select("date", "compute_type", "customer_segment", "p10", "p50", "p90")
+
+
 # --- baselines ---
 
 _NAIVE_VIEWS = f""", hist AS (SELECT *, LAG(compute_hours, 1) OVER w AS lag_1, LAG(compute_hours, 7) OVER w AS lag_7,
@@ -243,16 +265,12 @@ def pred_vs_actual(spark, folder):
     return rows.withColumn("error", F.col("p50") - F.col("compute_hours"))
 
 
-# --- walk-forward folds and cap sweep, on the trend alone ---
+# --- walk-forward folds and cap sweep ---
 
 
 def fold_rows(spark, folder):
     """Panel rows once per fold they belong to: fold, role (fit, val, test) and the row."""
-    table = [(n, a, b) for n, a, b in S.FOLDS]
-    folds = F.array(*[F.struct(F.lit(n).alias("fold"), F.lit(a).cast("date").alias("_end"), F.lit(b).cast("date").alias("_test")) for n, a, b in table])
-    rows = V.panel(spark, folder).select("*", F.inline(folds))
-    role = F.when(F.col("date") <= F.date_sub("_end", S.FOLD_VAL_DAYS), "fit").when(F.col("date") <= F.col("_end"), "val").otherwise("test")
-    return rows.filter(F.col("date") <= F.col("_test")).withColumn("role", role).drop("_end", "_test")
+    return backtest.assign_folds(V.panel(spark, folder), S.FOLDS, S.FOLD_VAL_DAYS).drop("train_end", "test_end")
 
 
 _FOLD_SQL = ", folds AS (" + S.values(S.FOLDS, ["fold", "train_end", "test_end"], ["train_end", "test_end"]) + f"""),
@@ -289,20 +307,89 @@ def _folded(body):
     return V.sql("panel", _SWEEP + body).replace("\n, folds AS", ",\nfolds AS")
 
 
-@query("walk_forward_folds", "mape mae rmse", 4, oracle=_folded("SELECT fold, AVG(ABS(p50 - compute_hours) / ABS(NULLIF(compute_hours, 0.0))) * 100 AS mape, AVG(ABS(p50 - compute_hours)) AS mae, SQRT(AVG((p50 - compute_hours) * (p50 - compute_hours))) AS rmse, COUNT(*) AS n FROM pr WHERE cap = 0.06 GROUP BY 1"))
-def walk_forward_folds(spark, folder):
+@query("trend_folds", "mape mae rmse", 4, oracle=_folded("SELECT fold, AVG(ABS(p50 - compute_hours) / ABS(NULLIF(compute_hours, 0.0))) * 100 AS mape, AVG(ABS(p50 - compute_hours)) AS mae, SQRT(AVG((p50 - compute_hours) * (p50 - compute_hours))) AS rmse, COUNT(*) AS n FROM pr WHERE cap = 0.06 GROUP BY 1"))
+def trend_folds(spark, folder):
+    """The folds scored by their capped trend alone."""
     rows, _ = _fold_trends(spark, folder, [trend.MAX_MONTHLY_GROWTH])
     return rows.groupBy("fold").agg(accuracy.mape().alias("mape"), accuracy.mae().alias("mae"), accuracy.rmse().alias("rmse"), F.count(F.lit(1)).alias("n"))
 
 
-@query("backtest_summary", "mean_mape std_mape min_mape max_mape range_mape", 4, oracle=_folded("""SELECT compute_type, AVG(m) AS mean_mape, STDDEV_POP(m) AS std_mape, MIN(m) AS min_mape, MAX(m) AS max_mape, MAX(m) - MIN(m) AS range_mape FROM (
- SELECT fold, compute_type, AVG(ABS(p50 - compute_hours) / ABS(NULLIF(compute_hours, 0.0))) * 100 AS m FROM pr WHERE cap = 0.06 GROUP BY 1, 2) AS s GROUP BY 1"""))
+def _fold_views(folds):
+    """The recipe within each fold as SQL: capped trend, weekday quantiles, calibration on the fold's tail, calibrated test rows ``fcal``."""
+    value = "EXP(t.a + t.b * (r.date - t.d0))"
+    on = "r.fold = t.fold AND r.compute_type = t.compute_type AND r.customer_segment = t.customer_segment"
+    return ", folds AS (" + S.values(folds, ["fold", "train_end", "test_end"], ["train_end", "test_end"]) + f"""),
+ fr AS (SELECT f.fold, f.train_end, f.test_end, p.*, CASE WHEN p.date <= f.train_end - {S.FOLD_VAL_DAYS} THEN 'fit' WHEN p.date <= f.train_end THEN 'val' ELSE 'test' END AS role FROM panel p JOIN folds f ON p.date <= f.test_end),
+ ft AS (SELECT fold, {SERIES}, COALESCE(regr_intercept(LN(compute_hours), t), AVG(LN(compute_hours))) AS a, LEAST(COALESCE(regr_slope(LN(compute_hours), t), 0.0), {V.CAP}) AS b, MIN(d0) AS d0
+ FROM (SELECT *, CAST(date - d0 AS DOUBLE) AS t FROM (SELECT *, (SELECT MIN(date) FROM panel) AS d0 FROM fr) AS x) AS y WHERE role = 'fit' AND compute_hours > 0 GROUP BY fold, {SERIES}),
+ fp AS (SELECT fold, {SERIES}, dow, quantile_cont(lr, 0.1) AS q10, quantile_cont(lr, 0.5) AS q50, quantile_cont(lr, 0.9) AS q90 FROM (SELECT r.fold, r.compute_type, r.customer_segment, isodow(r.date) AS dow,
+ LN(LEAST(GREATEST(r.compute_hours / GREATEST({value}, 1.0), 0.1), 10.0)) AS lr FROM fr r JOIN ft t ON {on} WHERE role = 'fit') AS s GROUP BY fold, {SERIES}, dow),
+ fs AS (SELECT r.*, GREATEST({value} * EXP(q10), 0.0) AS p10, GREATEST({value} * EXP(q50), 0.0) AS p50, GREATEST({value} * EXP(q90), 0.0) AS p90 FROM fr r JOIN ft t ON {on}
+ LEFT JOIN fp q ON q.fold = r.fold AND q.compute_type = r.compute_type AND q.customer_segment = r.customer_segment AND q.dow = isodow(r.date) WHERE role <> 'fit'),
+ fsc AS (SELECT fold, compute_type, score, ROW_NUMBER() OVER (PARTITION BY fold, compute_type ORDER BY score) - 1 AS rn, COUNT(*) OVER (PARTITION BY fold, compute_type) AS n
+ FROM (SELECT *, GREATEST(p10 - compute_hours, compute_hours - p90) / GREATEST(p50, 1.0) AS score FROM fs WHERE role = 'val' AND p50 IS NOT NULL) AS x),
+ fh AS (SELECT *, LEAST(CEIL((n + 1) * CAST(0.8 AS DOUBLE)) / n, 1.0) * (n - 1) AS h FROM fsc),
+ fa AS (SELECT fold, compute_type, MAX(CASE WHEN rn = FLOOR(h) THEN score END) + (MAX(CASE WHEN rn = LEAST(FLOOR(h) + 1, n - 1) THEN score END) - MAX(CASE WHEN rn = FLOOR(h) THEN score END)) * (MAX(h) - FLOOR(MAX(h))) AS adj
+ FROM fh GROUP BY fold, compute_type),
+ fcal AS (SELECT s.* REPLACE (s.p10 - COALESCE(a.adj, 0.0) * s.p50 AS p10, s.p90 + COALESCE(a.adj, 0.0) * s.p50 AS p90) FROM fs s LEFT JOIN fa a ON a.fold = s.fold AND a.compute_type = s.compute_type WHERE role = 'test')
+"""
+
+
+def _recipe(body, folds=S.FOLDS):
+    return V.sql("panel", _fold_views(folds) + body).replace("\n, folds AS", ",\nfolds AS")
+
+
+_SPLIT_METRICS = f"{_MAPE} AS mape_p50, AVG((p50 - compute_hours) / NULLIF(compute_hours, 0.0)) * 100 AS bias_pct, {_INSIDE} AS coverage_p10_p90, AVG(ABS(p50 - compute_hours)) AS mae, SQRT(AVG((p50 - compute_hours) * (p50 - compute_hours))) AS rmse, COUNT(*) AS n_test_rows"
+_SPLIT_FLOATS = "mape_p50 bias_pct coverage_p10_p90 mae rmse"
+_FOLD = ["fold", "train_end", "test_end"]
+
+
+def _backtest(spark, folder, folds, label):
+    """All folds fitted, calibrated and scored at once; written once per session."""
+    def build():
+        rows = written(backtest.assign_folds(V.panel(spark, folder), folds, S.FOLD_VAL_DAYS), "fold-rows")
+        return backtest.fit_and_score(rows, ["fold"], origin=V.panel(spark, folder).agg(F.min("date")).scalar()).test
+
+    return V.once(spark, folder, label, build)
+
+
+@query("walk_forward_folds", _SPLIT_FLOATS, 4, oracle=_recipe(f"SELECT fold, train_end, test_end, {_SPLIT_METRICS} FROM fcal GROUP BY fold, train_end, test_end"))
+def walk_forward_folds(spark, folder):
+    """Each fold fitted on its past, calibrated on the last 90 days of it and scored on the half-year after."""
+    return backtest.metrics(_backtest(spark, folder, S.FOLDS, "folds"), _FOLD)
+
+
+@query("later_folds", _SPLIT_FLOATS, 4, oracle=_recipe(f"SELECT fold, train_end, test_end, {_SPLIT_METRICS} FROM fcal GROUP BY fold, train_end, test_end", S.LATER_FOLDS))
+def later_folds(spark, folder):
+    """The same over the second fold table; no fold looks at its test rows before they are scored."""
+    return backtest.metrics(_backtest(spark, folder, S.LATER_FOLDS, "later-folds"), _FOLD)
+
+
+@query("backtest_summary", "mean_mape std_mape min_mape max_mape range_mape", 4, oracle=_recipe(f"""SELECT compute_type, AVG(m) AS mean_mape, STDDEV_POP(m) AS std_mape, MIN(m) AS min_mape, MAX(m) AS max_mape, MAX(m) - MIN(m) AS range_mape FROM (
+ SELECT fold, compute_type, {_MAPE} AS m FROM fcal GROUP BY 1, 2 UNION ALL SELECT fold, 'all types', {_MAPE} FROM fcal GROUP BY 1) AS s GROUP BY 1"""))
 def backtest_summary(spark, folder):
-    rows, _ = _fold_trends(spark, folder, [trend.MAX_MONTHLY_GROWTH])
-    m = rows.groupBy("fold", "compute_type").agg(accuracy.mape().alias("m"))
-    return m.groupBy("compute_type").agg(
-        F.avg("m").alias("mean_mape"), F.stddev_pop("m").alias("std_mape"), F.min("m").alias("min_mape"), F.max("m").alias("max_mape"), (F.max("m") - F.min("m")).alias("range_mape")
-    )
+    """Spread of the folds' error, per type and over all types."""
+    test = _backtest(spark, folder, S.FOLDS, "folds")
+    named = test.select("*", F.explode(F.array("compute_type", F.lit("all types"))).alias("member"))
+    per_fold = named.groupBy("fold", F.col("member").alias("compute_type")).agg(accuracy.mape().alias("mape_p50"))
+    return backtest.fold_summary(per_fold, ["compute_type"])
+
+
+@query("fold_coverage", "adj coverage", 4, oracle=_recipe(f"SELECT c.fold, c.compute_type, MAX(adj) AS adj, {_INSIDE} AS coverage, COUNT(*) AS n FROM fcal c LEFT JOIN fa ON fa.fold = c.fold AND fa.compute_type = c.compute_type GROUP BY c.fold, c.compute_type"))
+def fold_coverage(spark, folder):
+    """Adjustment and coverage of every type in every fold."""
+    rows = written(backtest.assign_folds(V.panel(spark, folder), S.FOLDS, S.FOLD_VAL_DAYS), "fold-rows")
+    done = backtest.fit_and_score(rows, ["fold"], origin=V.panel(spark, folder).agg(F.min("date")).scalar())
+    keys = ["fold", "compute_type"]
+    inside = done.test.groupBy(*keys).agg(accuracy.coverage().alias("coverage"), F.count(F.lit(1)).alias("n"))
+    return inside.join(done.adjustments.select(*keys, "adj"), keys, "left")
+
+
+@query("fit_and_evaluate", _SPLIT_FLOATS, 4, oracle=V.sql("cal", f"SELECT {_SPLIT_METRICS} FROM cal"))
+def fit_and_evaluate(spark, folder):
+    """One split from rows to metrics: fit on training rows, calibrate on validation rows, score test rows."""
+    rows = written(backtest.assign_role(V.panel(spark, folder), S.TRAIN_END, S.VAL_END, S.TEST_END), "split-rows")
+    return backtest.metrics(backtest.fit_and_score(rows, origin=V.panel(spark, folder).agg(F.min("date")).scalar()).test)
 
 
 @query("cap_sweep", "mape", 4, oracle=_folded("SELECT cap, fold, AVG(ABS(p50 - compute_hours) / ABS(NULLIF(compute_hours, 0.0))) * 100 AS mape, COUNT(DISTINCT CASE WHEN binds THEN compute_type || '|' || customer_segment END) AS n_binding FROM pr GROUP BY 1, 2"))

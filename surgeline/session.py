@@ -45,6 +45,12 @@ def new_path(spark, label):
     return f"{shared_dir(spark)}/surgeline-{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark, path):
+    """Delete a folder that no later plan reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def written(df, label):
     """Write ``df`` once to the shared folder and read it back, which also cuts its lineage."""
     path = new_path(df.sparkSession, label)

@@ -33,30 +33,39 @@ def champion(versions: DataFrame, name="model_name") -> DataFrame:
     )
 
 
-def trends_as_json(trends: DataFrame) -> DataFrame:
-    """One JSON payload per series."""
-    payload = F.to_json(F.struct("log_intercept", "daily_growth_rate", "origin_date"))
-    return trends.select("compute_type", "customer_segment", payload.alias("payload"))
-
-
-def write_parts(trends: DataFrame, adjustments: DataFrame, features, path: str) -> None:
-    """Trend parameters, calibration and the feature list as JSON folders under ``path``."""
-    trends.drop("uncapped_rate").write.json(f"{path}/trends")
-    adjustments.write.json(f"{path}/conformal")
-    spark = trends.sparkSession
-    spark.createDataFrame([(i, f) for i, f in enumerate(features)], "position int, feature string").coalesce(
-        1
-    ).write.json(f"{path}/features")
-
-
-def load_trends(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TREND_SCHEMA).json(f"{path}/trends")
-
-
-def load_adjustments(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("compute_type string, adj double, n bigint").json(f"{path}/conformal")
-
-
-def load_features(spark: SparkSession, path: str) -> list[str]:
-    rows = spark.read.schema("position int, feature string").json(f"{path}/features")
-    return [r["feature"] for r in rows.orderBy("position").collect()]
+PART_SCHEMAS = {
+    "trends": TREND_SCHEMA,
+    "profile": "compute_type string, customer_segment string, day_of_week int, log_p10 double, log_p50 double, log_p90 double",
+    "conformal": "compute_type string, adj double",
+    "levels": "compute_type string, customer_segment string, series_level double, type_level double, segment_level double",
+    "features": "position int, feature string",
+    "base": "quantile string, base double, rounds int",
+    "nodes": "quantile string, tree int, node int, feature int, threshold double, left int, right int, value double, gain double",
+}
+
+
+def write_parts(parts: dict[str, DataFrame], path: str) -> None:
+    """Model parts as one table of JSON payloads: part, payload. A part's columns are those of its schema."""
+    rows = None
+    for name, frame in parts.items():
+        row = frame.select(F.lit(name).alias("part"), F.to_json(F.struct(*_columns(name))).alias("payload"))
+        rows = row if rows is None else rows.unionByName(row)
+    rows.write.partitionBy("part").parquet(path)
+
+
+def _columns(part):
+    return [c.split()[0] for c in PART_SCHEMAS[part].split(", ")]
+
+
+def load_parts(spark: SparkSession, path: str, wanted) -> dict[str, DataFrame]:
+    """The wanted parts as tables, decoded with their declared schemas.
+
+    A part that is not there raises a ValueError with its name; a payload that does not fit its schema stops the job.
+    """
+    rows = spark.read.schema("payload string, part string").parquet(path)
+    there = {r["part"] for r in rows.select("part").distinct().collect()}  # a row per kind of part
+    missing = [p for p in wanted if p not in there]
+    if missing:
+        raise ValueError(f"missing model parts: {missing}")
+    decoded = lambda p: F.from_json("payload", PART_SCHEMAS[p], {"mode": "FAILFAST"})
+    return {p: rows.filter(F.col("part") == p).select(decoded(p).alias("v")).select("v.*") for p in wanted}
