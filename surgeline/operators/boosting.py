@@ -7,13 +7,11 @@ jobs; the driver only ever holds the trees and one number per leaf.
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -108,27 +106,52 @@ def encode(df: DataFrame, levels: DataFrame, keys=KEYS, by=()) -> DataFrame:
 # --- training -----------------------------------------------------------------------------------
 
 
-def _nodes(model, quantile, tree_no, values):
-    """Node rows of one fitted tree, leaves numbered left to right as Spark numbers them."""
-    rows, leaf_no = [], 0
+def _nodes(model, quantile, tree_no):
+    """Node rows of one fitted tree; a leaf points to itself and has no value yet."""
+    rows = []
 
     def visit(node):
-        nonlocal leaf_no
         me = len(rows)
         rows.append(None)
         if node.subtreeDepth() == 0:
-            rows[me] = (quantile, tree_no, me, 0, np.inf, me, me, values.get(leaf_no, 0.0), 0.0)
-            leaf_no += 1
+            rows[me] = [quantile, tree_no, me, 0, np.inf, me, me, 0.0, 0.0]
         else:
             split = node.split()
             left, right = visit(node.leftChild()), visit(node.rightChild())
-            rows[me] = (quantile, tree_no, me, split.featureIndex(), split.threshold(), left, right, 0.0, node.gain())
+            rows[me] = [quantile, tree_no, me, split.featureIndex(), split.threshold(), left, right, 0.0, node.gain()]
         return me
 
     visit(model._java_obj.trees()[0].rootNode())
     return rows
 
 
+def leaves(df: DataFrame, trees: dict, names) -> DataFrame:
+    """Add ``leaf_<quantile>``: the node in which a row ends in its variant's tree, NULL where there is none.
+
+    ``trees`` maps (variant, quantile) to node rows. Every row walks the trees of its own variant only.
+    """
+    tables = {task: [np.array(c) for c in zip(*[(r[3], r[4], r[5], r[6]) for r in rows])] for task, rows in trees.items()}
+    shipped = df.sparkSession.sparkContext.broadcast(tables)
+
+    @F.pandas_udf(", ".join(f"{n} int" for n in names))
+    def find(x: pd.Series, which: pd.Series) -> pd.DataFrame:
+        out = {n: np.full(len(x), -1, np.int32) for n in names}
+        block = np.vstack(x.to_numpy()) if len(x) else np.zeros((0, 1))
+        for (v, n), (feature, threshold, left, right) in shipped.value.items():
+            own = np.flatnonzero((which == v).to_numpy())
+            at = np.zeros(len(own), int)
+            while len(own):
+                to = np.where(block[own, feature[at]] <= threshold[at], left[at], right[at])
+                if (to == at).all():
+                    break
+                at = to
+            out[n][own] = at
+        return pd.DataFrame(out)
+
+    found = df.withColumn("_leaf", find("x", "variant"))
+    return found.select("*", *[F.when(F.col("_leaf")[n] >= 0, F.col("_leaf")[n]).alias(f"leaf_{n}") for n in names]).drop("_leaf")
+
+
 def train_quantile_trees(rows: DataFrame, is_val, label: str, features=MODEL_FEATURES, quantiles=QUANTILES, **options) -> QuantileTrees:
     """One model: ``train_variants`` with a single variant.
 
@@ -180,8 +203,9 @@ def train_variants(
     base = {r["variant"]: {n: float(r[n]) for n in names} for r in start.collect()}
     variants = [v for v in variants if v in base]  # one without rows to learn from has no model
     constant = F.create_map(*[x for v in variants for x in (F.lit(v), F.struct(*[F.lit(base[v][n]).alias(n) for n in names]))])
-    state = VectorAssembler(inputCols=list(features), outputCol="x").transform(rows.filter(F.col("variant").isin(*variants))).select(
-        "variant", "is_val", "x", "y", *[constant[F.col("variant")][n].alias(n) for n in names]
+    packed = F.array(*[F.col(c).cast("double") for c in features]).alias("x")
+    state = rows.filter(F.col("variant").isin(*variants)).select(
+        "variant", "is_val", packed, "y", *[constant[F.col("variant")][n].alias(n) for n in names]
     ).persist(StorageLevel.MEMORY_AND_DISK)
 
     def validation_loss(frame):
@@ -205,23 +229,14 @@ def train_variants(
                 a = quantiles[name]
                 gradient = F.when(F.col("y") > F.col(name), F.lit(a)).otherwise(F.lit(a - 1.0))
                 forest = RandomForestRegressor(
-                    featuresCol="x", labelCol="g", predictionCol=f"pred_{name}", leafCol=f"leaf_{name}",
-                    numTrees=1, bootstrap=False, featureSubsetStrategy=feature_share, maxDepth=depth,
+                    featuresCol="v", labelCol="g", bootstrap=False, featureSubsetStrategy=feature_share, maxDepth=depth,
                     minInstancesPerNode=min_leaf, maxBins=64, seed=seed + r,
                 )
-                return forest.fit(state.filter(~F.col("is_val") & (F.col("variant") == v)).select("x", gradient.alias("g")))
-
-            models = dict(zip(learning, pool.map(inheritable_thread_target(spark)(grow), learning)))
-            parts = []
-            for v in variants:
-                part = state.filter(F.col("variant") == v) if len(variants) > 1 else state
-                for n in names:
-                    if (v, n) in models:
-                        part = models[v, n].transform(part).drop(f"pred_{n}").withColumn(f"leaf_{n}", vector_to_array(f"leaf_{n}")[0].cast("int"))
-                    else:
-                        part = part.withColumn(f"leaf_{n}", F.lit(None).cast("int"))
-                parts.append(part)
-            leafed = reduce(DataFrame.unionByName, parts)
+                own = state.filter(~F.col("is_val") & (F.col("variant") == v))
+                return _nodes(forest.fit(own.select(array_to_vector("x").alias("v"), gradient.alias("g"))), name, r)
+
+            trees = dict(zip(learning, pool.map(inheritable_thread_target(spark)(grow), learning)))
+            leafed = leaves(state, trees, names)
             residuals = F.array(
                 *[F.struct(F.lit(n).alias("q"), F.col(f"leaf_{n}").alias("leaf"), (F.col("y") - F.col(n)).alias("e")) for n in names]
             )
@@ -236,8 +251,10 @@ def train_variants(
             values = {task: {} for task in learning}
             for row in per_leaf:
                 values[row["variant"], row["q"]][row["leaf"]] = rate * float(row["v"][names.index(row["q"])])
-            for (v, n), model in models.items():
-                tables += [(v, *node) for node in _nodes(model, n, r, values[v, n])]
+            for task, nodes in trees.items():
+                for node in nodes:
+                    node[7] = values[task].get(node[2], 0.0)
+                    tables.append((task[0], *node))
             moved = []
             for n in names:
                 step = F.lit(None).cast("double")
@@ -280,6 +297,21 @@ def train_variants(
     return out
 
 
+def parts_of(model: QuantileTrees, spark: SparkSession) -> dict[str, DataFrame]:
+    """The model as tables to store. A leaf compares nothing, so its threshold is left out."""
+    base = spark.createDataFrame([(q, b, model.rounds[q]) for q, b in model.base.items()], "quantile string, base double, rounds int")
+    nodes = model.to_frame(spark).withColumn("threshold", F.when(F.col("left") != F.col("node"), F.col("threshold")))
+    return {"base": base, "nodes": nodes}
+
+
+def model_of(parts: dict[str, DataFrame]) -> QuantileTrees:
+    """The model from its stored tables ``features``, ``base`` and ``nodes``."""
+    names = [r["feature"] for r in parts["features"].orderBy("position").collect()]
+    rows = parts["base"].collect()
+    nodes = parts["nodes"].fillna(np.inf, ["threshold"]).toPandas()
+    return QuantileTrees(names, {r["quantile"]: r["base"] for r in rows}, nodes, {r["quantile"]: r["rounds"] for r in rows})
+
+
 def trees_from_frame(frame: DataFrame, features, base) -> QuantileTrees:
     """Rebuild a model from its stored node table (a few thousand rows)."""
     nodes = frame.toPandas()

@@ -6,61 +6,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surgeline.operators.accuracy import mape
-from surgeline.operators.boosting import MISSING, QuantileTrees, encode, walk
+from surgeline.operators.boosting import MISSING, encode, walk
 from surgeline.operators.features import with_calendar, with_holidays, with_trend_feature
 from surgeline.operators.trend import with_trend
 from surgeline.schema import DATE, KEYS, LAGS, TARGET, WINDOWS
 
 HISTORY_DAYS = max(LAGS)
+SERIES_PER_TASK = 64
 
 
-def static_features(horizon: DataFrame, holidays: DataFrame, trends: DataFrame, levels: DataFrame, origin) -> DataFrame:
+def static_features(horizon: DataFrame, holidays: DataFrame, trends: DataFrame, levels: DataFrame, origin, by=()) -> DataFrame:
     """Everything about a future row that does not depend on forecasts."""
     rows = with_holidays(with_calendar(with_trend_feature(horizon, origin)), holidays)
-    return encode(with_trend(rows, trends), levels)
+    return encode(with_trend(rows, trends, [*by, *KEYS]), levels, by=by)
 
 
 def recursive_forecast(
     usage: DataFrame,
     horizon: DataFrame,
-    model: QuantileTrees,
+    model,
     start: str,
     days: int,
-    series_per_task: int = 64,
-    extra_keys=(),
+    series_per_task: int = SERIES_PER_TASK,
+    variant=None,
     target=TARGET,
 ) -> DataFrame:
     """Day-by-day forecast of all series: date, keys, one column per quantile.
 
     ``horizon`` comes from ``static_features``. Series are independent of each other, so they are
     spread over tasks in blocks of about ``series_per_task``; a block holds one year of history and
-    the horizon of its series, and walks the days once for all of them together.
+    the horizon of its series, and walks the days once for all of them together. Days of the horizon that a series lacks
+    are left out of its forecast and are missing for the lags of later days. A value before ``start`` is the actual one.
+
+    With ``variant``, a column of ``horizon`` (a growth cap, say), ``model`` maps its values, as text, to models and the walk goes
+    once per series and variant, all in one job; ``usage`` may have the column too, else all variants share it.
     """
-    keys = [*KEYS, *extra_keys]
-    static = [c for c in model.features if not c.startswith(("lag_", "rolling_"))]
+    extra = [variant] if variant else []
+    keys = [*extra, *KEYS]
+    models = model if variant else {"only": model}
+    first = next(iter(models.values()))
+    static = [c for c in first.features if not c.startswith(("lag_", "rolling_"))]
     start_date = F.lit(start).cast("date")
     recent = usage.filter((F.col(DATE) < start_date) & (F.col(DATE) >= F.date_sub(start_date, HISTORY_DAYS)))
+    if variant and variant not in usage.columns:
+        recent = recent.join(F.broadcast(horizon.select(variant).distinct()))  # a row per model
     known = recent.select(
         *keys, F.datediff(DATE, start_date).alias("day"), F.col(target).alias("value"),
         F.lit(None).cast("double").alias("trend"), F.lit(None).cast("array<double>").alias("static"),
     )
-    ahead = horizon.select(
+    inside = horizon.filter(F.datediff(DATE, start_date).between(0, days - 1))
+    ahead = inside.select(
         *keys, F.datediff(DATE, start_date).alias("day"), F.lit(None).cast("double").alias("value"),
         "trend", F.array(*[F.col(c).cast("double") for c in static]).alias("static"),
     )
-    n_series = horizon.select(*keys).distinct().count()
+    n_series = horizon.select(*KEYS).distinct().count()
     blocks = max(1, -(-n_series // series_per_task))
-    rows = known.unionByName(ahead).withColumn("block", F.pmod(F.xxhash64(*keys), F.lit(blocks)))
+    rows = known.unionByName(ahead).withColumn("block", F.pmod(F.xxhash64(*KEYS), F.lit(blocks)))
 
-    shipped = usage.sparkSession.sparkContext.broadcast((model.compiled(), model.depth()))
-    features, names = list(model.features), list(model.base)
+    shipped = usage.sparkSession.sparkContext.broadcast({v: (m.compiled(), m.depth()) for v, m in models.items()})
+    features, names = list(first.features), list(first.base)
 
     def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
-        compiled, depth = shipped.value
-        codes, ids = pd.factorize(pd.MultiIndex.from_frame(pdf[keys].astype(object)))
-        day, future = pdf["day"].to_numpy(), pdf["static"].notna().to_numpy()
+        future = pdf["static"].notna().to_numpy()
         if not future.any():
-            return pd.DataFrame({k: [] for k in [*keys, "day", *names]})
+            return pdf[keys].iloc[:0].assign(day=np.empty(0, np.int32), **{n: np.empty(0) for n in names})
+        compiled, depth = shipped.value[str(pdf[variant].iloc[0]) if variant else "only"]
+        codes, ids = pd.factorize(pd.MultiIndex.from_frame(pdf[keys].astype(object)))
+        day = pdf["day"].to_numpy()
         value = np.full((len(ids), HISTORY_DAYS + days), np.nan)
         value[codes[~future], day[~future] + HISTORY_DAYS] = pdf["value"].to_numpy(float)[~future]
         trend = np.full((len(ids), days), np.nan)
@@ -88,7 +100,7 @@ def recursive_forecast(
 
     key_types = dict(horizon.dtypes)
     schema = ", ".join([f"{k} {key_types[k]}" for k in keys] + ["day int"] + [f"{n} double" for n in names])
-    done = rows.groupBy("block").applyInPandas(forecast, schema)
+    done = rows.groupBy(*extra, "block").applyInPandas(forecast, schema)
     return done.select(F.date_add(start_date, F.col("day")).alias(DATE), *keys, *names)
 
 
@@ -105,15 +117,17 @@ def _rolling(window, w, features, x):
             x[:, features.index(name)] = v
 
 
-def degradation(recursive: DataFrame, single: DataFrame, actual: DataFrame, keys=KEYS, target=TARGET) -> DataFrame:
-    """MAPE of both forecasts over the rows with a positive actual, and the difference in points."""
-    joined = (
-        actual.select(DATE, *keys, target)
-        .join(recursive.select(DATE, *keys, F.col("p50").alias("recursive")), [DATE, *keys])
-        .join(single.select(DATE, *keys, F.col("p50").alias("single")), [DATE, *keys])
-        .filter(F.col(target).isNotNull() & (F.col(target) > 0))
-    )
-    return joined.agg(
+def compared(recursive: DataFrame, single: DataFrame, actual: DataFrame, by=(), target=TARGET) -> DataFrame:
+    """Rows with a positive actual and both forecasts: ``recursive`` and ``single``."""
+    rows = actual.filter(F.col(target).isNotNull() & (F.col(target) > 0)).select(DATE, *KEYS, *[b for b in by if b in actual.columns], target)
+    keys = [DATE, *KEYS, *by]
+    both = recursive.select(*keys, F.col("p50").alias("recursive")).join(single.select(*keys, F.col("p50").alias("single")), keys)
+    return rows.join(both, [c for c in rows.columns if c != target])
+
+
+def degradation(rows: DataFrame, by=(), target=TARGET) -> DataFrame:
+    """MAPE of both forecasts per group of ``compared`` rows, and the difference in points."""
+    return rows.groupBy(*by).agg(
         mape("single", target).alias("single_step_mape"),
         mape("recursive", target).alias("recursive_mape"),
         F.count(F.lit(1)).alias("n"),
@@ -121,7 +135,10 @@ def degradation(recursive: DataFrame, single: DataFrame, actual: DataFrame, keys
 
 
 def cap_verdict(per_cap: DataFrame, old_cap: float, new_cap: float, band=0.5) -> DataFrame:
-    """Does the accuracy cost of a tighter cap grow when forecasts feed on themselves?"""
+    """Does the accuracy cost of a tighter cap grow when forecasts feed on themselves?
+
+    A gap of exactly ``band`` points is still similar.
+    """
     def at(c, cap):
         return F.max(F.when(F.abs(F.col("cap") - cap) < 1e-9, F.col(c)))
 
