@@ -29,8 +29,9 @@ K = 5  # words of a run
 WINDOW = 6  # neighbouring runs of which the least is kept
 SPAN = WINDOW + K - 1  # words of a window
 BITS = 24  # the bitmap has 2**BITS bits: 2 MB
-SLICE = 1 << 21  # bytes of text handled at once
+SLICE = 1 << 19  # bytes of text handled at once
 SALTS = 32
+SMALL = 100_000  # rows of a table that is broadcast; a larger one is spread over salts and shuffled
 
 _P, _Q = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
@@ -186,6 +187,15 @@ def item_classes(items, item_id="item_id", text="text"):
     return sets, written(held.join(shown, KEY).select("class", "item"), "leak-classes")
 
 
+def met(left, right, keys, uid, small=SMALL):
+    """``left`` joined to ``right``, which has one row for each value of ``keys``; any number of rows of ``left`` may share a value."""
+    if right.count() <= small:
+        return left.join(F.broadcast(right), keys)
+    salted = left.withColumn("salt", F.pmod(F.xxhash64(uid), F.lit(SALTS)).cast("int"))
+    spread = right.withColumn("salt", F.explode(F.array(*[F.lit(s) for s in range(SALTS)])))
+    return salted.hint("shuffle_merge").join(spread, [*keys, "salt"]).drop("salt")
+
+
 def covered(spans):
     """Words that lie in one span (start, end) or more, of a column of spans."""
     step = lambda acc, s: F.struct(
@@ -195,7 +205,7 @@ def covered(spans):
     return F.aggregate(F.array_sort(spans), zero, step, lambda acc: acc.n)
 
 
-def contamination(df, items, id_col="doc_id", text="text", item_id="item_id", item_text="text"):
+def contamination(df, items, id_col="doc_id", text="text", item_id="item_id", item_text="text", small=SMALL):
     """Words of each text, those inside a window of an item, the items with such windows (count and sorted ids)."""
     sets, classes = item_classes(items, item_id, item_text)
     shorter = sorted(r["size"] for r in sets.filter(F.col("size") < SPAN).select("size").distinct().collect())  # SPAN - 1 at most
@@ -208,10 +218,7 @@ def contamination(df, items, id_col="doc_id", text="text", item_id="item_id", it
 
     texts = source.mapInArrow(run, f"id {kind}, n_words long, windows {WINDOWS}").withColumn("uid", F.monotonically_increasing_id())
     texts = written(texts, "leak-texts")
-    # windows of a passage that stands in very many texts are spread over salts
-    found = texts.select("uid", F.inline("windows")).withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int"))
-    spread = sets.withColumn("salt", F.explode(F.array(*[F.lit(s) for s in range(SALTS)])))
-    hits = found.join(spread, [*KEY, "salt"])
+    hits = met(texts.select("uid", F.inline("windows")), sets, KEY, "uid", small)
     spans = F.flatten(F.collect_list(F.transform("at", lambda a: F.struct(a.alias("start"), (a + F.col("size")).alias("end")))))
     hits = written(hits.groupBy("uid").agg(spans.alias("spans"), F.collect_set("class").alias("classes")), "leak-hits")
     hits = hits.select("uid", covered(F.col("spans")).cast("long").alias("n_hit"), F.sort_array("classes").alias("classes"))
@@ -219,8 +226,9 @@ def contamination(df, items, id_col="doc_id", text="text", item_id="item_id", it
     shown = hits.groupBy("signature").agg(F.min("classes").alias("classes"))
     listed = shown.select("signature", F.explode("classes").alias("class")).join(classes, "class").select("signature", "item").distinct()
     listed = listed.groupBy("signature").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    listed = listed.select("signature", F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("items"))
-    full = texts.select("uid", F.col("id").alias(id_col), "n_words").join(hits.drop("classes"), "uid", "left").join(listed, "signature", "left")
+    listed = written(listed.select("signature", F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("items")), "leak-signatures")
+    hits = met(hits.drop("classes"), listed, ["signature"], "uid", small)
+    full = texts.select("uid", F.col("id").alias(id_col), "n_words").join(hits, "uid", "left")
     zero = F.lit(0).cast("long")
     return full.select(
         id_col, "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.coalesce("items", F.lit("")).alias("items"),

@@ -81,10 +81,12 @@ def test_further_columns_are_left_alone(spark, clashing, docs):
     assert sorted(map(tuple, plain), key=str) == sorted(map(tuple, other), key=str)
 
 
-def test_a_passage_in_many_texts_and_items(spark):
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_a_passage_in_many_texts_and_items(spark, small):
+    """Both ways of joining: with a broadcast table and with salts."""
     common = " ".join(f"c{i}" for i in range(40))
     docs = [(i, f"{common} own{i}") for i in range(300)] + [(1000, "clean")]
-    check(spark, docs, [(f"i{i}", f"start{i} {common}") for i in range(50)] + [("last", "own7 c0")])
+    check(spark, docs, [(f"i{i}", f"start{i} {common}") for i in range(50)] + [("last", "own7 c0")], small=small)
 
 
 def test_every_long_span_keeps_a_fingerprint():
