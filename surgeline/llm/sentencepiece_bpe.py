@@ -275,7 +275,7 @@ class Encoder:
         for i, t in enumerate(texts):
             if not t:
                 out[i] = np.empty(0, np.int32)
-            elif len(t) > WINDOW:
+            elif len(t) + bool(self.vocab.dummy_prefix) > WINDOW:  # with the mark in front it may take a second window
                 parts = []
                 for words in self._words(t):
                     parts.extend(self._ids([words]))

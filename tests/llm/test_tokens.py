@@ -32,6 +32,15 @@ def test_windows_and_small_memo(library, monkeypatch):
     assert S.Encoder(piece_model()).encode([text, "", text])[2].tolist() == library.encode(text)
 
 
+@pytest.mark.parametrize("ending", ["x", " ", "  ", "x ", " x", "é", "\n ", "▁", "the end "])
+def test_texts_about_as_long_as_a_window(library, monkeypatch, ending):
+    monkeypatch.setattr(S, "WINDOW", 50)
+    for n in (48, 49, 50, 51, 52, 99, 100, 101):
+        for start in ("the cat sat on the mat and ran ", "abcdefgh", "a b "):
+            text = (start * 40)[: n - len(ending)] + ending
+            assert len(text) == n and S.Encoder(piece_model()).encode([text])[0].tolist() == library.encode(text)
+
+
 def test_any_ids_decode_as_the_library(library):
     rng = random.Random(3)
     decoder = S.Decoder(piece_model())
