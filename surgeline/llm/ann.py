@@ -213,7 +213,8 @@ def nearest(df, is_query, k=5, id_col="vec_id", vector="embedding", ratio=RATIO,
 
     def search(left, right):
         if not len(left) or not len(right):
-            return pd.DataFrame({"q": [], "rep": [], "ids": [], "score": []})
+            none = {"q": np.empty(0, np.int64), "rep": np.empty(0, np.int64), "ids": np.empty(0, object), "score": np.empty(0)}
+            return pd.DataFrame(none)
         v = np.stack(right["v"].to_numpy())
         parts = []
         for at in range(0, len(left), 1024):

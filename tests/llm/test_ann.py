@@ -63,3 +63,19 @@ def test_graph_search_finds_the_nearest_centroids():
     true = np.argsort(-(x @ graph.centers.T), axis=1)[:, :10]
     assert np.mean([len(set(b[:10]) & set(t)) / 10 for b, t in zip(best.tolist(), true.tolist())]) > 0.9
     assert (np.diff(distance, axis=1) >= -1e-6).all()
+
+
+def test_lists_that_nobody_asks(spark):
+    """Well clustered vectors with few queries, so that most lists get none."""
+    rng = np.random.default_rng(3)
+    middle = rng.normal(size=(12, 8)) * 20
+    rows = [(i * 7 + 1 if i else 50, [float(x) for x in (middle[i % 12] + rng.normal(size=8)).astype(np.float32)]) for i in range(900)]
+    rows = [(i if i % 50 or n == 0 else i + 3, v) for n, (i, v) in enumerate(rows)]
+    got, want = search(spark, rows, lists=40), brute(rows, 5)
+    assert set(got) == {50} and len(set(got[50]) & set(want[50])) >= 4
+
+
+def test_no_queries(spark):
+    rng = np.random.default_rng(4)
+    rows = [(50 * i + 1, [float(x) for x in rng.normal(size=8).astype(np.float32)]) for i in range(300)]
+    assert search(spark, rows) == {}
