@@ -166,6 +166,16 @@ def compare_models(df: DataFrame, first: str, second: str, keys=KEYS, target=TAR
     )
 
 
+def compare_coverage(df: DataFrame, first, second, dim="compute_type", target=TARGET) -> DataFrame:
+    """Coverage of two intervals, each given by its end columns, by member and over all."""
+    out = df.rollup(dim).agg(
+        F.grouping(dim).alias("_all"), coverage(*first, target).alias("coverage_first"), coverage(*second, target).alias("coverage_second"), F.count(F.lit(1)).alias("n")
+    )
+    name = F.when(F.col("_all") == 1, F.lit("all types")).otherwise(F.col(dim))
+    delta = F.col("coverage_second") - F.col("coverage_first")
+    return out.select(name.alias(dim), "coverage_first", "coverage_second", delta.alias("delta"), "n")
+
+
 def pinball_losses(df: DataFrame, target=TARGET) -> DataFrame:
     return df.agg(*[pinball(n, a, target).alias(f"pinball_{n}") for n, a in QUANTILES.items()])
 

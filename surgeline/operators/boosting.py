@@ -456,14 +456,6 @@ def permutation_importance(
 
 
 def seeded_sample(df: DataFrame, n: int, keys=(DATE, *KEYS), seed=42) -> DataFrame:
-    """Repeatable sample of n rows without replacement: the n smallest seeded hashes."""
-    h = F.xxhash64(F.lit(seed), *[F.col(k).cast("string") for k in keys])
+    """Repeatable sample of n rows without replacement: the n smallest digests of seed and key."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
     return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
-
-
-def hybrid_label(ratios: DataFrame) -> DataFrame:
-    return ratios.withColumn("label", F.ln("ratio"))
-
-
-def level_label(features: DataFrame, target=TARGET) -> DataFrame:
-    return features.withColumn("label", F.log1p(target))

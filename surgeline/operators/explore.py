@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from surgeline.functions.quantiles import exact_quantile
 from surgeline.schema import DATE, KEYS, TARGET
 
 DAYS_PER_MONTH = 30.44
@@ -136,13 +137,28 @@ def volatility(usage: DataFrame, by=KEYS, target=TARGET) -> DataFrame:
     return rows.groupBy(*by).agg((F.stddev_samp("detrended") / F.avg("detrended")).alias("cv"))
 
 
+MEMBERS = 200  # members of a dimension that are turned into columns, at most
+
+
+def quartiles(df: DataFrame, value=TARGET) -> DataFrame:
+    """Lower quartile, median and upper quartile as (statistic, value) rows."""
+    rows = df.select(F.lit("all").alias("_all"), F.col(value).alias("_v"))
+    found = [
+        exact_quantile(rows, ["_all"], "_v", lambda n, q=q: F.lit(q), q).select(F.lit(name).alias("statistic"), F.col("quantile").alias("value"))
+        for name, q in (("q25", 0.25), ("median", 0.5), ("q75", 0.75))
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def type_correlation(daily: DataFrame, dim="compute_type", target=TARGET) -> DataFrame:
     """Correlation of every pair of members, raw and detrended, over complete dates.
 
     The members are those of the data: meant for a dimension of few members, since the result has a
-    row for each pair. Members become columns, so all pairs come from one aggregate.
+    row for each pair. Members become columns, so all pairs come from one aggregate; a dimension with more than ``MEMBERS`` is refused.
     """
-    members = sorted(r[0] for r in daily.select(dim).distinct().collect() if r[0] is not None)
+    members = sorted(r[0] for r in daily.select(dim).distinct().limit(MEMBERS + 2).collect() if r[0] is not None)
+    if len(members) > MEMBERS:
+        raise ValueError(f"{dim} has more than {MEMBERS} members")
     rows = with_centered_mean(daily, (dim,), target)
     wide = rows.groupBy(DATE).pivot(dim, list(members)).agg(
         F.first(target).alias("raw"), F.first("detrended").alias("flat")

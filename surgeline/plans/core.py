@@ -11,7 +11,7 @@ from surgeline.plans.registry import query
 from surgeline.schema import FEATURE_COLUMNS, NUMERIC_FEATURES
 from surgeline.session import new_path
 from surgeline.sources import panel as P
-from surgeline.sources import runs
+from surgeline.sources import runs, side_tables
 
 KEYED = "date, compute_type, customer_segment"
 
@@ -41,27 +41,37 @@ def roundtrip_csv(spark, folder):
     return P.read_usage_csv(spark, path)
 
 
+@query("read_holidays", oracle=V.sql("holidays", "SELECT * FROM holidays"))
+def read_holidays(spark, folder):
+    """The holiday calendar through a file with a declared schema."""
+    path = new_path(spark, "holidays-csv")
+    side_tables.write_side_table(V.holidays(spark, folder), path, "holidays")
+    return side_tables.read_side_table(spark, path, "holidays").rows
+
+
 @query("holiday_calendar", oracle=V.sql("holidays", "SELECT * FROM holidays"))
 def holiday_calendar(spark, folder):
     return V.holidays(spark, folder)
 
 
-@query(
-    "event_log_rollup",
-    oracle=V.sql(
-        "panel",
-        """, flagged AS (SELECT *, (compute_hours - m) / s AS z, compute_hours / m AS ratio FROM (SELECT *,
+_ROLLUP = """, flagged AS (SELECT *, (compute_hours - m) / s AS z, compute_hours / m AS ratio FROM (SELECT *,
  AVG(compute_hours) OVER w AS m, STDDEV_SAMP(compute_hours) OVER w AS s, COUNT(*) OVER w AS c FROM panel
  WINDOW w AS (PARTITION BY compute_type, customer_segment ORDER BY date ROWS BETWEEN 14 PRECEDING AND 13 FOLLOWING)) AS a
  WHERE c = 28 AND s > 0),
  marked AS (SELECT *, CASE WHEN z > 0 THEN 'spike' ELSE 'dip' END AS kind, FLOOR(10 * (ratio - 1)) AS mag FROM flagged WHERE ABS(z) > 2.5)
- SELECT date AS event_date, date + 1 AS event_end_date, CASE WHEN MIN(mag) < 0 THEN 'churn' ELSE kind END AS event_type,
+"""
+_EVENTS = """SELECT date AS event_date, date + 1 AS event_end_date, CASE WHEN MIN(mag) < 0 THEN 'churn' ELSE kind END AS event_type,
  kind || ' on ' || CAST(date AS VARCHAR) AS event_name, string_agg(DISTINCT compute_type, '; ' ORDER BY compute_type) AS affected_compute_types,
  string_agg(DISTINCT customer_segment, '; ' ORDER BY customer_segment) AS affected_segments,
  string_agg(printf('%+dx', CAST(mag AS INTEGER)), '; ' ORDER BY compute_type, customer_segment) AS magnitude
- FROM marked GROUP BY date, kind""",
-    ).replace("\n, flagged", ",\nflagged"),
-)
+ FROM marked GROUP BY date, kind"""
+
+
+def _with_views(body):
+    return V.sql("panel", _ROLLUP + body).replace("\n, flagged", ",\nflagged")
+
+
+@query("event_log_rollup", oracle=_with_views(_EVENTS))
 def event_log_rollup(spark, folder):
     """Outlier days of the panel as events: per-series rows rolled up to one row per event."""
     rows = explore.with_outliers(V.usage(spark, folder)).filter(F.col("is_outlier") == 1)
@@ -77,6 +87,18 @@ def event_log_rollup(spark, folder):
     return events.event_log(per_series, "%+dx")
 
 
+@query("read_event_log", oracle=_with_views(f"""SELECT event_date, event_end_date, event_type, event_name, TRIM(ct) AS compute_type, TRIM(seg) AS customer_segment, len(string_split(magnitude, '; ')) AS n_magnitudes
+ FROM (SELECT *, UNNEST(string_split(affected_compute_types, ';')) AS ct FROM ({_EVENTS}) AS e) AS a, UNNEST(string_split(affected_segments, ';')) AS u(seg)"""))
+def read_event_log(spark, folder):
+    """The rolled-up events through a delimited file: lists become arrays and those rows."""
+    path = new_path(spark, "events-csv")
+    log = event_log_rollup(spark, folder).withColumn("description", F.lit("found in the panel"))
+    side_tables.write_side_table(log, path, "event_log")
+    rows = side_tables.read_side_table(spark, path, "event_log").rows
+    rows = rows.withColumn("compute_type", F.explode("affected_compute_types")).withColumn("customer_segment", F.explode("affected_segments"))
+    return rows.select(*events.EVENT, "compute_type", "customer_segment", F.size("magnitude").cast("long").alias("n_magnitudes"))
+
+
 _FEATURE_LIST = ", ".join(
     c if c not in NUMERIC_FEATURES else f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS
 )
@@ -142,6 +164,25 @@ def quality_profile(spark, folder):
     return explore.quality_profile(V.usage(spark, folder))
 
 
+@query("usage_quartiles", "value", 6, oracle=V.sql("panel", " UNION ALL ".join(f"SELECT '{n}' AS statistic, quantile_cont(compute_hours, {q}) AS value FROM panel" for n, q in (("q25", 0.25), ("median", 0.5), ("q75", 0.75)))))
+def usage_quartiles(spark, folder):
+    """Quartiles of the target over all rows, exact at any size."""
+    return explore.quartiles(V.usage(spark, folder))
+
+
+@query(
+    "usage_labels",
+    oracle=V.sql("panel", """SELECT month, total, format('{:,}', CAST(round_even(total / 1000, 0) AS BIGINT)) || 'K' AS total_label, printf('%+.1f%%', (total / before - 1) * 100) AS change_label
+ FROM (SELECT *, LAG(total) OVER (ORDER BY month) AS before FROM (SELECT CAST(date_trunc('month', date) AS DATE) AS month, SUM(compute_hours) AS total FROM panel GROUP BY 1) AS m) AS b"""),
+)
+def usage_labels(spark, folder):
+    """Monthly totals as report labels: thousands, and the change from the month before."""
+    months = V.usage(spark, folder).groupBy(F.trunc("date", "MM").alias("month")).agg(F.sum("compute_hours").alias("total"))
+    before = F.lag("total").over(Window.orderBy("month"))  # a row per month
+    change = F.col("total") / before - 1
+    return months.select("month", "total", exprs.kilo("total").alias("total_label"), F.when(change.isNotNull(), exprs.signed_percent(change * 100)).alias("change_label"))
+
+
 @query(
     "feature_null_counts",
     oracle=V.sql("feat", " UNION ALL ".join(f"SELECT '{c}' AS feature, COUNT(*) - COUNT({c}) AS null_count FROM feat" for c in FEATURE_COLUMNS)),
@@ -152,9 +193,9 @@ def feature_null_counts(spark, folder):
 
 @query(
     "lag_check",
-    oracle=V.sql("panel", """, r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY compute_type, customer_segment ORDER BY date) AS rn FROM panel)
+    oracle=V.sql("panel", """, r AS (SELECT *, ROW_NUMBER() OVER w AS rn, LAG(compute_hours, 7) OVER w AS l FROM panel WINDOW w AS (PARTITION BY compute_type, customer_segment ORDER BY date))
  SELECT a.compute_type, a.customer_segment, COUNT(*) AS n, COUNT(b.rn) AS n_with_lag, SUM(b.compute_hours) AS lag_7_sum,
- CAST(0 AS BIGINT) AS n_mismatch FROM r a LEFT JOIN r b ON a.compute_type = b.compute_type AND a.customer_segment = b.customer_segment
+ COUNT(*) FILTER (a.l IS DISTINCT FROM b.compute_hours) AS n_mismatch FROM r a LEFT JOIN r b ON a.compute_type = b.compute_type AND a.customer_segment = b.customer_segment
  AND b.rn = a.rn - 7 GROUP BY 1, 2""").replace("\n, r AS", ",\nr AS"),
 )
 def lag_check(spark, folder):
@@ -253,7 +294,7 @@ def forecast_scaffold(spark, folder):
     return P.scaffold(V.until(V.usage(spark, folder), S.TEST_END), S.HORIZON_START, S.HORIZON_DAYS)
 
 
-@query("seeded_sample")
+@query("seeded_sample", oracle=V.sql("panel", f"SELECT * FROM panel ORDER BY md5('42|' || CAST(date AS VARCHAR) || '|' || compute_type || '|' || customer_segment), {KEYED} LIMIT 2000"))
 def seeded_sample(spark, folder):
     return boosting.seeded_sample(V.usage(spark, folder), 2000)
 

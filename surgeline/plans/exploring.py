@@ -215,7 +215,14 @@ def acf_total(spark, folder):
     return explore.autocorrelation(explore.totals(V.usage(spark, folder)), 35)
 
 
-@query("pacf")
+_PACF = f"""WITH RECURSIVE a AS ({_acf("p", SERIES, 35)}), rr AS (SELECT {SERIES}, list(acf ORDER BY lag) AS r FROM a GROUP BY {SERIES}),
+ d AS (SELECT {SERIES}, r, 1 AS k, [r[1]] AS phi, r[1] AS pacf FROM rr UNION ALL
+ SELECT {SERIES}, r, k + 1, list_concat(list_transform(range(1, k + 1), lambda j: phi[j] - p * phi[k + 1 - j]), [p]), p FROM (
+ SELECT *, (r[k + 1] - list_inner_product(phi, list_reverse(r[1:k]))) / (1 - list_inner_product(phi, r[1:k])) AS p FROM d WHERE k < 35) AS s)
+ SELECT {SERIES}, CAST(k AS INTEGER) AS lag, pacf FROM d""".replace("WITH RECURSIVE a", f"WITH RECURSIVE p AS ({V.VIEWS['panel'][1]}), a")
+
+
+@query("pacf", "pacf", 5, oracle=_PACF)
 def pacf(spark, folder):
     keys = ["compute_type", "customer_segment"]
     return explore.partial_autocorrelation(explore.autocorrelation(V.usage(spark, folder), 35, keys), keys)

@@ -256,6 +256,27 @@ def model_comparison(spark, folder):
     return accuracy.compare_models(rows, "lag_7", "p50")
 
 
+@query("model_comparison_overall", _METRICS, 5, oracle=V.sql("panel train test", _NAIVE_VIEWS + f""", duo AS (SELECT b.compute_hours, b.lag_7, t.p50 FROM base b JOIN test t ON b.date = t.date AND b.compute_type = t.compute_type AND b.customer_segment = t.customer_segment)
+ """ + _evaluate("duo", {"last_week": "lag_7", "profile": "p50"})).replace("\n, hist AS", ",\nhist AS").replace("\n, duo AS", ",\nduo AS"))
+def model_comparison_overall(spark, folder):
+    """Both models over the same test rows."""
+    keys = ["date", "compute_type", "customer_segment"]
+    rows = baselines(spark, folder).select(*keys, "compute_hours", "lag_7").join(V.test(spark, folder).select(*keys, "p50"), keys)
+    return accuracy.evaluate(rows, {"last_week": "lag_7", "profile": "p50"})
+
+
+_RAW_IN, _CAL_IN = "AVG(CAST(t.compute_hours BETWEEN t.p10 AND t.p90 AS INTEGER)) * 100", "AVG(CAST(t.compute_hours BETWEEN c.p10 AND c.p90 AS INTEGER)) * 100"
+
+
+@query("model_comparison_coverage", "coverage_first coverage_second delta", 4, oracle=V.sql("test cal", f"""SELECT compute_type, a AS coverage_first, b AS coverage_second, b - a AS delta, n FROM (SELECT COALESCE(t.compute_type, 'all types') AS compute_type, {_RAW_IN} AS a, {_CAL_IN} AS b, COUNT(*) AS n
+ FROM test t JOIN cal c ON t.date = c.date AND t.compute_type = c.compute_type AND t.customer_segment = c.customer_segment GROUP BY ROLLUP (t.compute_type)) AS s"""))
+def model_comparison_coverage(spark, folder):
+    """Coverage of the raw and the calibrated interval, by type and over all types."""
+    keys = ["date", "compute_type", "customer_segment"]
+    second = V.calibrated(spark, folder).select(*keys, F.col("p10").alias("low"), F.col("p90").alias("high"))
+    return accuracy.compare_coverage(V.test(spark, folder).join(second, keys), ("p10", "p90"), ("low", "high"))
+
+
 @query("pred_vs_actual", "p50 error", 5, oracle=V.sql("fc panel", """SELECT f.date, f.compute_type, f.customer_segment, f.p50, p.compute_hours, f.p50 - p.compute_hours AS error
  FROM fc f LEFT JOIN panel p ON f.date = p.date AND f.compute_type = p.compute_type AND f.customer_segment = p.customer_segment"""))
 def pred_vs_actual(spark, folder):
@@ -385,6 +406,13 @@ def fold_coverage(spark, folder):
     return inside.join(done.adjustments.select(*keys, "adj"), keys, "left")
 
 
+@query("model_comparison_folds", "mape_first mape_second delta", 4, oracle=V.sql("panel", _fold_views(S.FOLDS) + f""", two AS (SELECT c.fold, c.compute_hours, c.p50, EXP(t.a + t.b * (c.date - t.d0)) AS bare FROM fcal c JOIN ft t ON c.fold = t.fold AND c.compute_type = t.compute_type AND c.customer_segment = t.customer_segment)
+ SELECT fold, a AS mape_first, b AS mape_second, b - a AS delta, CASE WHEN b - a < -1 THEN 'better' WHEN b - a > 1 THEN 'worse' ELSE 'same' END AS flag FROM (SELECT fold, {_ERR.format(p='bare').join(['AVG(', ') * 100'])} AS a, {_MAPE} AS b FROM two GROUP BY fold) AS s""").replace("\n, folds AS", ",\nfolds AS").replace("\n, two AS", ",\ntwo AS"))
+def model_comparison_folds(spark, folder):
+    """Folds side by side: the bare trend and the weekday profile on it."""
+    return accuracy.compare_models(_backtest(spark, folder, S.FOLDS, "folds"), "trend", "p50", ["fold"])
+
+
 @query("fit_and_evaluate", _SPLIT_FLOATS, 4, oracle=V.sql("cal", f"SELECT {_SPLIT_METRICS} FROM cal"))
 def fit_and_evaluate(spark, folder):
     """One split from rows to metrics: fit on training rows, calibrate on validation rows, score test rows."""

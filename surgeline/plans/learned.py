@@ -114,6 +114,13 @@ def boosting_evaluation(spark, folder):
     return backtest.metrics(adjusted(spark, folder), [F.col("variant").alias("model")])
 
 
+@query("boosting_comparison", "mape_first mape_second delta", 5)
+def boosting_comparison(spark, folder):
+    """The level model against the hybrid one, per series, with a flag at one point."""
+    wide = predictions(spark, folder, ["test"]).groupBy(*KEYED).agg(F.first(TARGET).alias(TARGET), *[F.max(F.when(F.col("variant") == v, F.col("p50"))).alias(v) for v in BOTH])
+    return accuracy.compare_models(wide, "level", "hybrid")
+
+
 @query("load_boosters", "p10 p50 p90", 6)
 def load_boosters(spark, folder):
     """The hybrid model stored as JSON parts, loaded again, and its calibrated, uncrossed forecast of the test window."""
