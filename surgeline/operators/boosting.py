@@ -307,7 +307,7 @@ def parts_of(model: QuantileTrees, spark: SparkSession) -> dict[str, DataFrame]:
 def model_of(parts: dict[str, DataFrame]) -> QuantileTrees:
     """The model from its stored tables ``features``, ``base`` and ``nodes``."""
     names = [r["feature"] for r in parts["features"].orderBy("position").collect()]
-    rows = parts["base"].collect()
+    rows = parts["base"].orderBy("quantile").collect()  # a row per quantile
     nodes = parts["nodes"].fillna(np.inf, ["threshold"]).toPandas()
     return QuantileTrees(names, {r["quantile"]: r["base"] for r in rows}, nodes, {r["quantile"]: r["rounds"] for r in rows})
 
