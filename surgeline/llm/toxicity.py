@@ -112,13 +112,12 @@ def fit(df, text="text", label="toxic", id_col="doc_id"):
     n = min(DOCS, sum(counts.values()))
     shards = max(1, round(n / SHARD))
 
-    def run(batches):
+    def run(table):
+        """The weights that one shard learns; a shard holds a bounded share of the sample."""
         found = []
-        for batch in sliced(batches, ROWS):
+        for batch in sliced(table.to_batches(), ROWS):
             ys, draws = batch.column("y").to_pylist(), batch.column("draw").to_pylist()
             found.extend(zip(draws, ys, distinct_features(texts_of(batch, "text"))))
-        if not found:
-            return
         found.sort(key=lambda r: (r[0], r[1], len(r[2])))
         model = Ftrl()
         for turn in range(PASSES):
@@ -126,10 +125,11 @@ def fit(df, text="text", label="toxic", id_col="doc_id"):
                 model.learn(x, y)
         w = model.weights(np.arange((1 << BITS) + 1))
         at = np.flatnonzero(w)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at]), pa.array(np.full(len(at), len(found)))], names=["at", "w", "docs"])
+        return pa.table([pa.array(at), pa.array(w[at]), pa.array(np.full(len(at), len(found)))], names=["at", "w", "docs"])
 
-    dealt = sample.select("draw", "text", "y").repartition(shards, F.pmod("draw", F.lit(shards)))
-    learned = dealt.mapInArrow(run, "at long, w double, docs long")
+    dealt = sample.select("draw", "text", "y", F.pmod("draw", F.lit(shards)).alias("shard"))
+    # the shard is the group, so the model is the same for any number of partitions
+    learned = dealt.groupBy("shard").applyInArrow(run, "at long, w double, docs long")
     # a shard without a weight for a feature counts with 0
     total = learned.groupBy("at").agg(F.sum(F.col("w") * F.col("docs")).alias("w"), F.sum("docs").alias("docs"))
     got = total.collect()  # at most 2 ** BITS + 1 rows, in practice what L1 leaves

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -107,3 +108,46 @@ def test_quality_is_fitted_on_whole_texts(spark):
     train, test = df.filter("doc_id % 3 > 0"), df.filter("doc_id % 3 = 0")
     got = quality.score(test, quality.fit(train)).collect()
     assert sum((r.score >= 0.3) == bool(r.quality) for r in got) >= 0.95 * len(got)
+
+
+def test_toxicity_is_learned_alike_for_any_number_of_partitions(spark, monkeypatch):
+    """Several shards, each learned by itself, against the plain per-coordinate steps."""
+    monkeypatch.setattr(toxicity, "SHARD", 40)
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["nice", "day", "out", "here"] + ["vermin"] * (i % 3 == 0)) for _ in range(12)), int(i % 3 == 0)) for i in range(160)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    before, models = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("4", "211"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            models.append(toxicity.fit(df.repartition(int(n) // 4)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert models[0].index.tolist() == models[1].index.tolist()
+    assert max(abs(a - b) for a, b in zip(models[0].weight.tolist(), models[1].weight.tolist())) < 1e-6
+
+    draws = {r.doc_id: r.d for r in df.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit(1)).alias("d")).collect()}
+    total = {}
+    for shard in range(4):
+        own = sorted((draws[i], y, toxicity.distinct_features([t])[0]) for i, t, y in rows if draws[i] % 4 == shard)
+        z, n = {}, {}
+
+        def weight(i):
+            shrunk = abs(z.get(i, 0.0)) - (0.0 if i == 1 << toxicity.BITS else toxicity.L1)
+            return -(1 if z[i] > 0 else -1) * shrunk / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2) if shrunk > 0 and i in z else 0.0
+
+        for turn in range(toxicity.PASSES):
+            for _, y, x in own if turn % 2 == 0 else own[::-1]:
+                at = [*x.tolist(), 1 << toxicity.BITS]
+                w = {i: weight(i) for i in at}
+                g = 1 / (1 + math.exp(-sum(w.values()))) - y
+                for i in at:
+                    old = n.get(i, 0.0)
+                    z[i] = z.get(i, 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / toxicity.ALPHA * w[i]
+                    n[i] = old + g * g
+        for i in z:
+            total[i] = total.get(i, 0.0) + weight(i) * len(own) / 160
+    constant = total.pop(1 << toxicity.BITS)
+    want = {i: w for i, w in total.items() if w}
+    assert set(models[0].index.tolist()) == set(want) and abs(models[0].constant - constant) < 1e-9
+    assert all(abs(w - want[i]) < 1e-6 for i, w in zip(models[0].index.tolist(), models[0].weight.tolist()))
