@@ -17,6 +17,7 @@ result, and further columns, whatever their names, are not touched.
 
 from pyspark.sql import functions as F
 
+from surgeline.llm.common import free_name
 from surgeline.session import written
 
 WHITE = r"[\x20\x09-\x0D]"
@@ -94,10 +95,11 @@ def exact_dedup(df, id_col="doc_id", text="text", block=BLOCK, route=xx_route):
 
 def deduplicated(df, id_col="doc_id", text="text", block=BLOCK):
     """The rows of ``df`` that stay, with all their columns."""
+    k_id, k_points, k_sha, points, sha = (free_name(df, n) for n in ("keep_id", "keep_points", "keep_sha", "row_points", "row_sha"))
     kept = exact_dedup(df, id_col, text, block).filter("kept").select(
-        F.col(id_col).alias("_keep_id"), F.col("n_points").alias("_keep_points"), F.col("text_sha256").alias("_keep_sha")
+        F.col(id_col).alias(k_id), F.col("n_points").alias(k_points), F.col("text_sha256").alias(k_sha)
     )
-    rows = df.withColumns({"_row_sha": F.sha2(normalised(text), 256), "_row_points": F.coalesce(F.length(text), F.lit(0))})
-    same = F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_row_sha") == F.col("_keep_sha")) & (F.col("_row_points") == F.col("_keep_points"))
-    out = rows.join(kept, same, "left_semi").dropDuplicates([id_col, "_row_sha", "_row_points"])
+    rows = df.withColumns({sha: F.sha2(normalised(text), 256), points: F.coalesce(F.length(text), F.lit(0))})
+    same = F.col(id_col).eqNullSafe(F.col(k_id)) & (F.col(sha) == F.col(k_sha)) & (F.col(points) == F.col(k_points))
+    out = rows.join(kept, same, "left_semi").dropDuplicates([id_col, sha, points])
     return out.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -125,3 +125,12 @@ def repeated(df, mixed, size="size"):
     times = F.col("copies") + extra
     rows = mixed.withColumn("_mix_times", F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1))))).filter(times > 0)
     return rows.select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def remixed(df, size, id_col="doc_id", source="source", **options):
+    """The rows of ``df`` as often as the mix takes them; ``size`` is a Column, and any further column stays as it is."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    own = dict(zip(df.columns, names))
+    sized = df.withColumn(free_name(df, "words"), size).toDF(*names, "words")
+    mixed = mix(sized, id_col=own[id_col], source=own[source], size="words", **options)
+    return repeated(sized, mixed, size="words").select(*names).toDF(*df.columns)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from surgeline.llm.common import sliced, texts_of
+from surgeline.llm.common import free_name, sliced, texts_of
 from surgeline.llm.textcodes import _P, mixed, shingles, words
 from surgeline.session import written
 
@@ -283,10 +283,9 @@ def near_classes(df, id_col="doc_id", text="text"):
 
 def near_deduplicated(df, id_col="doc_id", text="text"):
     """One row of each class, with all columns of ``df``."""
-    kept = near_classes(df, id_col, text).filter("kept").select(
-        F.col(id_col).alias("_keep_id"), F.col("mark").alias("_keep_mark"), F.col("points").alias("_keep_points")
-    )
-    rows = df.withColumns({"_row_mark": F.xxhash64(text), "_row_points": F.coalesce(F.length(text), F.lit(0)).cast("long")})
-    same = F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_row_mark") == F.col("_keep_mark")) & (F.col("_row_points") == F.col("_keep_points"))
-    out = rows.join(kept, same, "left_semi").dropDuplicates([id_col, "_row_mark", "_row_points"])
+    k_id, k_points, k_mark, points, mark = (free_name(df, n) for n in ("keep_id", "keep_points", "keep_mark", "row_points", "row_mark"))
+    kept = near_classes(df, id_col, text).filter("kept").select(F.col(id_col).alias(k_id), F.col("mark").alias(k_mark), F.col("points").alias(k_points))
+    rows = df.withColumns({mark: F.xxhash64(text), points: F.coalesce(F.length(text), F.lit(0)).cast("long")})
+    same = F.col(id_col).eqNullSafe(F.col(k_id)) & (F.col(mark) == F.col(k_mark)) & (F.col(points) == F.col(k_points))
+    out = rows.join(kept, same, "left_semi").dropDuplicates([id_col, mark, points])
     return out.select(*[F.col(f"`{c}`") for c in df.columns])

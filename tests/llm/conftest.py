@@ -33,5 +33,6 @@ def clashing(docs):
     """The documents with further columns whose names the operators use inside."""
     from pyspark.sql import functions as F
 
-    names = ["id", "uid", "key", "keys", "n", "size", "shard", "slot", "words", "block", "name", "node", "k0", "rank", "bin", "class", "kept", "score", "ids"]
+    names = ["id", "uid", "key", "keys", "n", "size", "shard", "slot", "words", "block", "name", "node", "k0", "rank", "bin", "class", "kept", "score", "ids",
+             "_row_sha", "_row_points", "_row_mark", "keep_id", "_keep_id", "row_sha", "target", "copies", "part_words", "taken", "_mix_times", "source_size"]
     return docs.withColumns({n: F.lit("x") for n in names})

@@ -265,3 +265,24 @@ def test_reach_follows_the_words_wanted(spark):
     rows = [(1, " ".join(["a", "b", *words])), (2, " ".join([*words, "c"]))]
     out = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string"), min_words=20).collect()
     assert {(r.doc_id, r.start, r.end) for r in out} == {(1, 2, 24), (2, 0, 22)}
+
+
+def test_a_line_that_texts_repeat_many_times(spark):
+    """As many rounds as the logarithm of the texts, not as many as the line has places; every text is joined to every other."""
+    rng = random.Random(8)
+    own = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    line, long_line = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("l", 14), ("m", 60)))
+    rows = [(t, " ".join(f"{own(rng.randint(3, 9))} {line}" for _ in range(40)) + f" {own(30)} {long_line} {own(30)} {long_line}") for t in range(4)]
+    found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.other_doc_id) for r in found if r.equal_words >= 60} == {(a, b) for a in range(4) for b in range(4) if a != b}
+
+
+def test_stages_return_the_columns_they_were_given(clashing):
+    """Columns whose names the stages use inside come back unchanged."""
+    from surgeline.llm import mixing
+
+    own = [c for c, kind in clashing.dtypes if kind == "string" and c not in ("text", "lang", "source")]
+    for stage in (exact_dedup.deduplicated, near_dedup.near_deduplicated, lambda d: mixing.remixed(d, mixing.word_count("text"))):
+        out = stage(clashing)
+        assert out.columns == clashing.columns
+        assert out.count() > 10 and {tuple(r) for r in out.select(*[F.col(f"`{c}`") for c in own]).distinct().collect()} == {("x",) * len(own)}
