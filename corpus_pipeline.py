@@ -38,9 +38,7 @@ def near(spark, docs, sf_dir):
 
 def mix(spark, docs, sf_dir):
     """Documents as often as the target mix of sources takes them."""
-    words = free_name(docs, "words")
-    sized = docs.withColumn(words, mixing.word_count("text"))
-    return mixing.repeated(docs, mixing.mix(sized, size=words), size=words)
+    return mixing.remixed(docs, mixing.word_count("text"))
 
 
 def tokens(spark, docs, sf_dir):
