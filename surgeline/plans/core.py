@@ -10,6 +10,7 @@ from surgeline.plans import views as V
 from surgeline.plans.registry import query
 from surgeline.schema import FEATURE_COLUMNS, NUMERIC_FEATURES
 from surgeline.session import new_path
+from surgeline.sources import holidays as H
 from surgeline.sources import panel as P
 from surgeline.sources import runs, side_tables
 
@@ -41,6 +42,28 @@ def roundtrip_csv(spark, folder):
     return P.read_usage_csv(spark, path)
 
 
+@query("roundtrip_parquet", oracle=V.sql("panel", "SELECT * FROM panel WHERE date >= DATE '1997-01-01' AND date < DATE '1997-04-01'"))
+def roundtrip_parquet(spark, folder):
+    """The panel laid out by month and a quarter of it read again."""
+    path = new_path(spark, "usage-parquet")
+    P.write_usage(V.usage(spark, folder), path)
+    return P.read_usage(spark, path, "1997-01-01", "1997-03-31")
+
+
+_TIER_SQL = "CASE " + " ".join(
+    "WHEN holiday_name IN (" + ", ".join("'" + n.replace("'", "''") + "'" for n in names) + f") THEN '{tier}'"
+    for tier, names in (("major", H.MAJOR), ("moderate", H.MODERATE))
+) + " ELSE 'minor' END"
+
+
+@query("holiday_tiers", "mean_hours", 6, oracle=V.sql("holidays panel", f"""SELECT tier, COUNT(*) AS n_days, AVG(hours) AS mean_hours FROM (SELECT h.date, {_TIER_SQL} AS tier, SUM(compute_hours) AS hours
+ FROM holidays h JOIN panel p ON p.date = h.date GROUP BY 1, 2) AS d GROUP BY 1"""))
+def holiday_tiers(spark, folder):
+    """Mean daily total on holidays by their tier."""
+    days = H.with_tier(V.holidays(spark, folder)).join(V.usage(spark, folder), "date")
+    return days.groupBy("date", "tier").agg(F.sum("compute_hours").alias("hours")).groupBy("tier").agg(F.count(F.lit(1)).alias("n_days"), F.avg("hours").alias("mean_hours"))
+
+
 @query("read_holidays", oracle=V.sql("holidays", "SELECT * FROM holidays"))
 def read_holidays(spark, folder):
     """The holiday calendar through a file with a declared schema."""

@@ -25,8 +25,14 @@ def read_usage_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(USAGE_SCHEMA).option("header", True).csv(path)
 
 
-def read_usage(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(USAGE_SCHEMA).parquet(path)
+def read_usage(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """A panel written by ``write_usage``; with bounds (ISO dates, both included) only their months are read."""
+    rows = spark.read.schema(f"date date, {KEYS[0]} string, {KEYS[1]} string, {TARGET} double, month date").parquet(path)
+    for bound, keep in ((first, lambda c, d: c >= d), (last, lambda c, d: c <= d)):
+        if bound:
+            day = F.lit(bound).cast("date")
+            rows = rows.filter(keep(F.col("month"), F.trunc(day, "MM")) & keep(F.col(DATE), day))
+    return rows.drop("month")
 
 
 def write_usage(usage: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists"):
