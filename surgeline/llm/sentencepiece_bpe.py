@@ -396,3 +396,20 @@ def decode(df, model_path, ids="ids", out="decoded"):
             yield with_column(batch, out, pa.array(texts, pa.string()))
 
     return df.mapInArrow(run, _extended(df, out, T.StringType()))
+
+
+def recode(df, model_path, text="text", ids="ids", out="decoded"):
+    """``df`` with ids and the text they decode to, in one pass: a task needs one Python worker and one vocabulary."""
+
+    def run(batches):
+        coder, decoder = encoder(model_path), Decoder(model_path)
+        for batch in sliced(batches, ROWS):
+            found = coder.encode(texts_of(batch, text))
+            texts = pa.array([decoder.decode(x) for x in found], pa.string())
+            lists = pa.array(found, pa.list_(pa.int32()))
+            yield with_column(with_column(batch, ids, lists), out, texts)
+
+    kinds = {ids: T.ArrayType(T.IntegerType()), out: T.StringType()}
+    names = [*df.columns, *[c for c in kinds if c not in df.columns]]
+    known = {f.name: f.dataType for f in df.schema.fields} | kinds
+    return df.mapInArrow(run, T.StructType([T.StructField(c, known[c]) for c in names]))

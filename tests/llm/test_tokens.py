@@ -62,3 +62,10 @@ def test_frame(docs, none, clashing, library):
             assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
             assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
     assert digest(none) == []
+
+
+def test_one_pass_equals_two(docs, clashing, none):
+    for df in (docs, clashing):
+        two = S.decode(S.encode(df, piece_model()), piece_model()).select("doc_id", "ids", "decoded").collect()
+        assert sorted(two, key=str) == sorted(S.recode(df, piece_model()).select("doc_id", "ids", "decoded").collect(), key=str)
+    assert S.recode(none, piece_model()).collect() == []
