@@ -44,7 +44,7 @@ def mix(spark, docs, sf_dir):
 def tokens(spark, docs, sf_dir):
     """Every row encoded and decoded: doc_id, source, n_tokens, ids_sha256, decoded_sha256."""
     rows = docs.select("doc_id", "source", "text")
-    coded = sentencepiece_bpe.decode(sentencepiece_bpe.encode(rows, piece_model()).drop("text"), piece_model())
+    coded = sentencepiece_bpe.recode(rows, piece_model())
     return coded.select("doc_id", "source", *[c.alias(n) for n, c in token_digests(coded).items()])
 
 
