@@ -7,8 +7,9 @@ over the table of sources, so only a few numbers reach the driver, however many
 
 A source's target is then met by whole repetitions of all its documents and one fractional repetition
 of the documents that come first in a seeded order; the document at its end counts with part of its
-words, so a source misses its target by less than one word. The running sum behind this is taken over
-4,096 bins of the order and then within a bin, so a source that holds most rows is spread over tasks.
+words, so a source misses its target by less than one word. The order is by a hash of the id, then the
+size, then a hash of the whole row. Where the repetition ends is found by aggregates over ever finer groups
+of that order, so neither a source that holds most rows nor many rows with one id or none meet in a task.
 
 Null sizes count as 0; a null source is a source of its own, last in the order; repeated rows are
 rows like others. A source without words has target 0. Reruns give the same result. Empty tables give
@@ -25,6 +26,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 SEED = 20260
+BROADCAST_ROWS = 100_000  # a table of at most so many sources is broadcast
+BROADCAST_LETTERS = 16 << 20  # and of at most so many characters of their names
+SALTS = 64
 
 
 def word_count(text):
@@ -84,38 +88,103 @@ def source_targets(sized, weights=WEIGHTS, max_epochs=MAX_EPOCHS):
     )
 
 
+def _beside(rows, table, salt, on=()):
+    """``rows`` with the columns of ``table``, which has one row per source, named ``of`` there.
+
+    ``on`` pairs further columns that must be equal. A table counted as small is broadcast; a larger one is
+    dealt over salts taken from the hash ``salt``, as one source may hold most rows.
+    """
+    match = F.col("source").eqNullSafe(F.col("of"))
+    for mine, its in on:
+        match = match & (F.col(mine) == F.col(its))
+    n, letters = table.agg(F.count(F.lit(1)), F.sum(F.length(F.col("of").cast("string")))).first()
+    if n <= BROADCAST_ROWS and (letters or 0) <= BROADCAST_LETTERS:
+        return rows.join(F.broadcast(table), match)
+    dealt = table.withColumn("_mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(dealt, match & (F.pmod(F.col(salt), F.lit(SALTS)) == F.col("_mix_salt"))).drop("_mix_salt")
+
+
+def _cut(rows, cuts, names):
+    """``cuts`` narrowed to the group, by ``names``, of each source in which its rest runs out.
+
+    Groups of a source are in the order of ``names``; ``rest`` becomes what is left at the group, ``n`` its rows.
+    """
+    sums = rows.groupBy("source", *names).agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows"))
+    ahead = Window.partitionBy("source").orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("before", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
+    inside = (F.col("before") < F.col("rest")) & (F.col("rest") <= F.col("before") + F.col("words"))
+    hit = sums.join(cuts.drop("n"), F.col("source").eqNullSafe(F.col("of"))).filter(inside)
+    kept = [c for c in cuts.columns if c not in ("rest", "n")]
+    return written(hit.select(*kept, *[F.col(c).alias(f"at_{c}") for c in names], (F.col("rest") - F.col("before")).alias("rest"), F.col("rows").alias("n")), "mix-cut")
+
+
+def cuts(rows, targets):
+    """Per source with a fractional repetition: the row at which it ends, by key, size and mark.
+
+    Found level by level, each an aggregate of only the rows that the level before left open: first bins of the
+    key, then the key, then size and bins of the mark, then the mark. So many rows under one key, as those
+    without an id have it, are added up before they are shuffled. ``n`` rows can be equal in all this.
+    """
+    found = targets.filter(F.col("rest") > 0).select(F.col("source").alias("of"), "rest")
+    rows = rows.withColumns({"bin": F.substring("key", 1, 3), "high": F.shiftright("mark", 52)})
+    for names in (("bin",), ("key",), ("size", "high"), ("mark",)):
+        found = _cut(rows, found, names)
+        rows = _beside(rows, found.select("of", *[f"at_{c}" for c in names]), "mark", [(c, f"at_{c}") for c in names]).select(*rows.columns)
+    return found.select("of", "at_key", "at_size", "at_mark", "rest", "n")
+
+
 def mix(df, id_col="doc_id", source="source", size="size", weights=WEIGHTS, max_epochs=MAX_EPOCHS, seed=SEED):
     """``df`` with source_size, target, copies, part_words and taken = copies * size + part_words.
 
     ``copies`` counts whole repetitions of the row, ``part_words`` the words of a further, fractional
-    one: the whole size, nothing, or for one row per source something between.
+    one: the whole size, nothing, or for one row per source something between. Rows are never sorted or
+    dealt anew for that: each is compared to the row at which its source's fractional repetition ends.
     """
-    n_size, key, bin_, none, src = (free_name(df, n) for n in ("mix_size", "mix_key", "mix_bin", "mix_none", "mix_source"))
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    rows = df.withColumns({n_size: F.coalesce(F.col(size), F.lit(0)).cast("long"), key: order}).withColumn(bin_, F.substring(key, 1, 3))
-    rows = rows.withColumns({none: F.col(source).isNull(), src: F.coalesce(F.col(source), F.lit(""))})
-    sized = rows.select(F.col(source).alias("source"), F.col(n_size).alias("size"), F.col(bin_).alias("bin"))
-    targets = written(source_targets(sized, weights, max_epochs), "mix-targets")
-    bins = sized.groupBy("source", "bin").agg(F.sum("size").alias("words"))
-    ahead = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("before", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
-    t = targets.select(F.col("source").alias("of"), "source_size", "target", "copies", "rest")
-    plan = written(bins.join(t, F.col("source").eqNullSafe(F.col("of"))).drop("words", "of"), "mix-bins")
-    plan = plan.withColumns({"none": F.col("source").isNull(), "source": F.coalesce("source", F.lit(""))})
-    plan = plan.select(*[F.col(c).alias(f"_mix_{c}") for c in plan.columns])
-    # plain equality, so that the join leaves the rows where the window needs them
-    met = rows.join(plan, (F.col(none) == F.col("_mix_none")) & (F.col(src) == F.col("_mix_source")) & (F.col(bin_) == F.col("_mix_bin")))
-    inside = Window.partitionBy(none, src, bin_).orderBy(key, n_size).rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("_mix_before") + F.coalesce(F.sum(n_size).over(inside), F.lit(0))
-    part = F.greatest(F.lit(0), F.least(F.col(n_size), F.col("_mix_rest") - start)).cast("long")
-    done = met.withColumn("_mix_part", part)
-    own = [F.col(f"`{c}`") for c in df.columns if c not in ("source_size", "target", "copies", "part_words", "taken")]
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    own = df.toDF(*names.values())
+    hashed = [F.col(f.name) for f in own.schema.fields if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    rows = own.withColumns({
+        "source": F.col(names[source]),
+        "size": F.coalesce(F.col(names[size]), F.lit(0)).cast("long"),
+        "key": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(names[id_col]).cast("string"), F.lit("")))),
+        "mark": F.xxhash64(*hashed),  # tells rows with one id, or none, apart
+    })
+    keys = written(rows.select("source", "size", "key", "mark"), "mix-keys")  # sizes are found once
+    targets = written(source_targets(keys, weights, max_epochs), "mix-targets")
+    ends = cuts(keys, targets)
+    plan = targets.select(F.col("source").alias("to"), "source_size", "target", "copies").join(ends, F.col("to").eqNullSafe(F.col("of")), "left")
+    plan = written(plan.drop("of").withColumnRenamed("to", "of"), "mix-plan")
+    met = _beside(rows, plan, "mark")
+    here, end = F.struct("key", "size", "mark"), F.struct(F.col("at_key"), F.col("at_size"), F.col("at_mark"))
+    ended = F.col("at_key").isNotNull()
+    tie = ended & (here == end) & (F.col("n") > 1)
+    part = F.when(ended & (here < end), F.col("size")).when(ended & (here == end), F.col("rest")).otherwise(0).cast("long")
+    if plan.filter(F.col("n") > 1).isEmpty():
+        done = met.withColumn("part", part)
+    else:
+        done = met.filter(~F.coalesce(tie, F.lit(False))).withColumn("part", part).unionByName(_dealt(met.filter(tie)))
+    left = [F.col(n).alias(c) for c, n in names.items() if c not in ("source_size", "target", "copies", "part_words", "taken")]
     return done.select(
-        *own, F.col("_mix_source_size").alias("source_size"), F.col("_mix_target").alias("target"), F.col("_mix_copies").alias("copies"),
-        F.col("_mix_part").alias("part_words"), (F.col("_mix_copies") * F.col(n_size) + F.col("_mix_part")).alias("taken"),
+        *left, "source_size", "target", "copies", F.col("part").alias("part_words"), (F.col("copies") * F.col("size") + F.col("part")).alias("taken")
     )
 
 
+def _dealt(equal):
+    """Part of each of the rows that are equal in all columns and in which the rest runs out.
+
+    Any order of them gives the same rows, so they are numbered as they are stored, partition by partition.
+    """
+    stored = written(equal.withColumns({"piece": F.spark_partition_id(), "line": F.monotonically_increasing_id()}), "mix-equal")
+    counts = stored.groupBy("of", "piece").agg(F.count(F.lit(1)).alias("rows"))
+    ahead = Window.partitionBy("of").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.select(F.col("of").alias("its"), F.col("piece").alias("block"), F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("before"))
+    numbered = stored.withColumn("place", F.row_number().over(Window.partitionBy("of", "piece").orderBy("line")) - 1)
+    numbered = numbered.join(ahead, F.col("of").eqNullSafe(F.col("its")) & (F.col("piece") == F.col("block")))
+    left = F.col("rest") - (F.col("before") + F.col("place")) * F.col("size")
+    part = F.greatest(F.lit(0), F.least(F.col("size"), left)).cast("long")
+    return numbered.withColumn("part", part).drop("piece", "line", "place", "its", "block", "before")
+
+
 def repeated(df, mixed, size="size"):
     """The rows of ``mixed`` as often as the mix takes them, with the columns of ``df``.
 
@@ -123,7 +192,8 @@ def repeated(df, mixed, size="size"):
     """
     extra = ((F.col("part_words") > 0) & (2 * F.col("part_words") >= F.col(size))).cast("long")
     times = F.col("copies") + extra
-    rows = mixed.withColumn("_mix_times", F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1))))).filter(times > 0)
+    turn = free_name(mixed, "turn")
+    rows = mixed.withColumn(turn, F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1))))).filter(times > 0)
     return rows.select(*[F.col(f"`{c}`") for c in df.columns])
 
 

@@ -1,4 +1,6 @@
-from collections import defaultdict
+import hashlib
+import math
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +73,26 @@ def test_mix_of_odd_rows(docs, none, clashing):
     times = mixed.agg(F.sum(F.col("copies") + ((F.col("part_words") > 0) & (2 * F.col("part_words") >= F.col("size"))).cast("int"))).first()[0]
     assert whole.columns == sized.columns and whole.count() == times
     assert mixing.mix(none.withColumn("size", F.lit(0))).collect() == []
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_mix_of_rows_without_an_id(spark, monkeypatch, broadcast):
+    """Many rows share an id or have none; some are equal in everything."""
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", broadcast)
+    rows = [(None, "hot", 3, "same")] * 90 + [(None, "hot", i % 4, f"t{i}") for i in range(90)] + [(7, "hot", 2, f"u{i % 5}") for i in range(40)]
+    rows += [(i, "cold", 5, "x") for i in range(8)] + [(None, None, 4, "x")] * 30 + [(None, "none", 0, "x")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, text string")
+    once, twice = (mixing.mix(d).collect() for d in (df, df.repartition(5)))
+    assert sorted(once, key=str) == sorted(twice, key=str) and len(once) == len(rows)
+    assert Counter((r.doc_id, r.source, r.size, r.text) for r in once) == Counter(rows)
+    order = ["cold", "hot", "none", None]
+    sizes = [sum(r[2] for r in rows if r[1] == s) for s in order]
+    for s, total, target in zip(order, sizes, water(sizes, [1, 2, 3, 1])):
+        own = [r for r in once if r.source == s]
+        copies = math.floor(round(target, 6) / total) if total else 0
+        rest, want = math.floor(round(target, 6) - copies * total + 0.5), Counter()
+        for r in sorted(own, key=lambda r: (hashlib.md5(f"20260:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest(), r.size)):
+            part = max(0, min(r.size, rest))
+            rest -= part
+            want[r.doc_id, r.size, copies * r.size + part] += 1
+        assert Counter((r.doc_id, r.size, r.taken) for r in own) == want
