@@ -5,9 +5,14 @@ left to right, into the longest phrases that occur in a language's sample; the f
 language needs, the better it explains the text. Counts are normalised by the length of the text and
 the size of the sample, since a larger sample makes longer phrases.
 
-Automata are stored as dense tables of transitions and whole batches of texts walk them in lockstep,
-each text in lanes of 256 characters. Sample: at most ``DOCS`` texts per language, ``EXCERPT``
-characters of each, ``CHARS`` in all. Texts to be identified are read whole.
+Sample: about ``DOCS`` texts per language, read whole; of all their fragments of ``FRAGMENT`` characters
+about as many as make ``CHARS`` characters are drawn. Moves of an automaton are kept in a table with open
+addressing, whose size depends on the sample alone and not on how many letters a script has; more than
+``LANGUAGES`` languages are refused, which bounds what is broadcast.
+
+Texts to be identified are read whole. A batch of texts walks an automaton in lockstep, each text in
+lanes of ``LANE`` symbols; a lane whose predecessor ends inside a phrase is walked again from there until
+it meets its earlier walk, so the phrases are those of the whole text.
 
 Null texts and texts without a letter give ``und`` with score 0, ties the language that comes first;
 with nothing to learn from every text is ``und``. Repeated rows, very long texts and further columns
@@ -24,18 +29,21 @@ from surgeline.llm.common import sliced, texts_of, with_column
 from surgeline.llm.samples import bounded_sample
 from surgeline.llm.sentencepiece_bpe import _extended
 from surgeline.llm.textcodes import SPAN, code_points, tables
+from surgeline.session import written
 
 DOCS = 300
-EXCERPT = 600
+FRAGMENT = 250
 CHARS = 40_000
+LANGUAGES = 200  # of at most 8 MB each
 LANE = 256
+BLOCK = 32  # symbols after which a second walk of a lane is compared to the first
 ROWS = 1024
 UNKNOWN = "und"
 _SPACE = 0  # symbol of everything that is no letter
 
 
-def suffix_automaton(symbols, alphabet):
-    """Transitions of the suffix automaton of ``symbols``, -1 where there is none."""
+def suffix_automaton(symbols):
+    """Moves (state, symbol, next state) of the suffix automaton of ``symbols``, as three arrays; 0 is its root."""
     follow, link, length = [{}], [-1], [0]
     last = 0
     for c in symbols:
@@ -61,11 +69,47 @@ def suffix_automaton(symbols, alphabet):
                     p = link[p]
                 link[q] = link[new] = twin
         last = new
-    table = np.full((len(follow), alphabet), -1, np.int32)
-    for state, moves in enumerate(follow):
-        for c, to in moves.items():
-            table[state, c] = to
-    return table
+    edges = np.array([(state, c, to) for state, moves in enumerate(follow) for c, to in moves.items()], np.int64).reshape(-1, 3)
+    return edges.T
+
+
+class Moves:
+    """The moves of an automaton in a table with open addressing; at most half of its slots are taken."""
+
+    def __init__(self, edges, alphabet):
+        state, symbol, to = edges
+        self.alphabet = alphabet
+        self.bits = max(4, (2 * len(state)).bit_length())
+        self.key = np.full(1 << self.bits, -1, np.int64)
+        self.to = np.full(1 << self.bits, -1, np.int32)
+        self.root = np.full(alphabet, -1, np.int32)
+        self.root[symbol[state == 0]] = to[state == 0]
+        keys = state * alphabet + symbol
+        at = self._slot(keys)
+        while len(keys):
+            free = self.key[at] < 0
+            self.key[at[free]] = keys[free]  # of several takers the last one has it
+            won = self.key[at] == keys
+            self.to[at[won]] = to[won]
+            keys, to, at = keys[~won], to[~won], (at[~won] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys):
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def next(self, state, symbol):
+        """Next state of each pair, -1 where there is none."""
+        keys = state.astype(np.int64) * self.alphabet + symbol
+        at = self._slot(keys)
+        met = self.key[at]
+        out = np.where(met == keys, self.to[at], -1)
+        left = np.flatnonzero((met != keys) & (met >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+            met = self.key[at[left]]
+            same = met == keys[left]
+            out[left[same]] = self.to[at[left[same]]]
+            left = left[~same & (met >= 0)]
+        return out
 
 
 class Alphabet:
@@ -75,9 +119,9 @@ class Alphabet:
         lower, letter, _ = tables()
         self.size = len(letters) + 3
         self.other, self.pad = self.size - 2, self.size - 1
-        own = np.full(SPAN, self.other, np.int16)
+        own = np.full(SPAN, self.other, np.int32)
         own[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
-        self.symbol = np.where(letter, own[lower], _SPACE).astype(np.int16)
+        self.symbol = np.where(letter, own[lower], _SPACE).astype(np.int32)
 
     def read(self, texts):
         """Symbols of all texts with runs of spaces as one, and where each text begins."""
@@ -85,6 +129,7 @@ class Alphabet:
         s = self.symbol[code]
         keep = np.ones(len(s), bool)
         keep[1:] = (s[1:] != _SPACE) | (s[:-1] != _SPACE)
+        keep[bounds[:-1][np.diff(bounds) > 0]] = True  # a text does not depend on the one before
         at = np.zeros(len(s) + 1, np.int64)
         np.cumsum(keep, out=at[1:])
         return s[keep], at[bounds]
@@ -105,27 +150,52 @@ class Model:
         self.moves, self.cost = [], []
         for lang in self.languages:
             symbols, _ = a.read([" ".join(samples[lang])])
-            table = suffix_automaton(symbols[:CHARS].tolist(), a.size)
-            table[:, a.pad] = np.arange(len(table))
-            # states are kept as places in the flat table; a missing move stays negative
-            self.moves.append(np.where(table < 0, -1, table * a.size).astype(np.int32).ravel())
-            self.cost.append(np.log2(max(2, min(CHARS, len(symbols)))))
-
-    def phrases(self, lanes, moves):
-        """Phrases of each lane; ``lanes``: one row per step."""
-        state = np.zeros(lanes.shape[1], np.int32)
-        count = np.zeros(lanes.shape[1], np.int32)
-        root = moves[: self.alphabet.size].copy()
-        root[self.alphabet.pad] = 0
-        for symbols in lanes:
-            to, fresh = moves[state + symbols], root[symbols]
-            missed = to < 0
+            self.moves.append(Moves(suffix_automaton(symbols.tolist()), a.size))
+            self.cost.append(np.log2(max(2, len(symbols))))
+
+    def _walk(self, block, state, moves):
+        """State after the symbols of ``block`` (one row per step) and phrases that end on the way."""
+        count = np.zeros(block.shape[1], np.int32)
+        for symbols in block:
+            here = symbols != self.alphabet.pad
+            to, fresh = moves.next(state, symbols), moves.root[symbols]
+            missed = here & (to < 0)
             # the phrase under way ends; a symbol the sample has nowhere is a phrase by itself
             count += missed & (state > 0)
             count += missed & (fresh < 0)
-            state = np.where(missed, fresh, to)
-            np.maximum(state, 0, out=state)
-        return count + (state > 0)
+            state = np.where(missed, np.maximum(fresh, 0), np.where(here, to, state))
+        return state, count
+
+    def phrases(self, lanes, moves, first=None):
+        """Phrases of each lane; ``lanes``: one row per step. ``first`` marks the lanes that begin a text, all by default.
+
+        A phrase that runs across lanes counts in the lane in which it ends.
+        """
+        steps, n = lanes.shape
+        first = np.ones(n, bool) if first is None else first
+        cuts = list(range(0, steps, BLOCK))
+        state = np.zeros((len(cuts) + 1, n), np.int32)  # before each block, and at the end
+        count = np.zeros((len(cuts) + 1, n), np.int32)
+        todo = np.arange(n)
+        again = False
+        while len(todo):
+            live = todo
+            for k, at in enumerate(cuts):
+                to, ended = self._walk(lanes[at : at + BLOCK, live], state[k, live], moves)
+                ended += count[k, live]
+                met = again & (to == state[k + 1, live])
+                # from here on the lane goes as before, only the count differs
+                count[k + 1 :, live[met]] += ended[met] - count[k + 1, live[met]]
+                live, to, ended = live[~met], to[~met], ended[~met]
+                state[k + 1, live], count[k + 1, live] = to, ended
+                if not len(live):
+                    break
+            enter = np.where(first, 0, np.roll(state[-1], 1))
+            todo = np.flatnonzero(enter != state[0])
+            state[0, todo] = enter[todo]
+            again = True
+        last = np.append(first[1:], True) if n else first
+        return count[-1] + (last & (state[-1] > 0))
 
     def predict(self, texts):
         """Language and score of each text."""
@@ -137,11 +207,12 @@ class Model:
         owner = np.repeat(np.arange(len(texts)), n_lanes)
         begin = np.repeat(bounds[:-1] - LANE * (np.cumsum(n_lanes) - n_lanes), n_lanes) + LANE * np.arange(len(owner))
         end = bounds[1:][owner]
+        first = np.diff(owner, prepend=-1) > 0
         at = begin[None, :] + np.arange(LANE)[:, None]
         lanes = np.where(at < end[None, :], s[np.minimum(at, max(0, len(s) - 1))], a.pad).astype(np.int32) if len(s) else np.zeros((LANE, 0), np.int32)
         bits = np.empty((len(self.languages), len(texts)))
         for k, moves in enumerate(self.moves):
-            total = np.bincount(owner, self.phrases(lanes, moves), minlength=len(texts))
+            total = np.bincount(owner, self.phrases(lanes, moves, first), minlength=len(texts))
             bits[k] = total * self.cost[k] / np.maximum(size, 1)
         best = np.argmin(bits, axis=0)
         least = bits[best, np.arange(len(texts))]
@@ -151,15 +222,31 @@ class Model:
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist())], np.where(known, score, 0.0)
 
 
+def _fragments(batches, share):
+    """Of each text the fragments that a seeded draw takes, a share of them by language."""
+    for batch in sliced(batches, ROWS):
+        got = []
+        for lang, draw, t in zip(batch.column("lang").to_pylist(), batch.column("draw").to_pylist(), texts_of(batch, "text")):
+            took = np.random.default_rng(draw % (1 << 63)).random(-(-len(t) // FRAGMENT)) < share[lang]
+            got += [(lang, draw, i, t[i * FRAGMENT : (i + 1) * FRAGMENT]) for i in np.flatnonzero(took).tolist()]
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array([g[c] for g in got], k) for c, k in enumerate(kinds)], names=["lang", "draw", "at", "text"])
+
+
 def fit(df, text="text", lang="lang", id_col="doc_id"):
     """A model from labelled rows; None if there is none with a letter."""
     rows = df.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    sample, _ = bounded_sample(rows, lang, id_col, DOCS)
+    sample, counts = bounded_sample(rows, lang, id_col, DOCS)
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"{len(counts)} languages, at most {LANGUAGES} are supported")
     draw = F.xxhash64(F.col(id_col).cast("string"), F.lit(0))
-    got = sample.select(F.col(lang).alias("lang"), draw.alias("draw"), F.substring(text, 1, EXCERPT).alias("text")).collect()
+    sample = written(sample.select(F.col(lang).alias("lang"), draw.alias("draw"), F.col(text).alias("text")), "language-sample")
+    pieces = sample.groupBy("lang").agg(F.sum(F.ceil(F.length("text") / FRAGMENT)).alias("n")).collect()  # a row per language
+    share = {r["lang"]: min(1.0, CHARS / FRAGMENT / max(1, r["n"])) for r in pieces}
+    got = sample.mapInArrow(lambda it: _fragments(it, share), "lang string, draw long, at int, text string").collect()  # about CHARS characters per language
     samples = {}
     _, letter, _ = tables()
-    for r in sorted(got, key=lambda r: (r["lang"], r["draw"], r["text"])):
+    for r in sorted(got, key=lambda r: (r["lang"], r["draw"], r["text"], r["at"])):
         samples.setdefault(r["lang"], []).append(r["text"])
     samples = {k: v for k, v in samples.items() if letter[code_points(v)[0]].any()}
     return Model(samples) if samples else None
@@ -169,7 +256,7 @@ def predict(df, model, text="text", out="lang_pred", score="score"):
     """``df`` with the language of each whole text and the score."""
     if model is None:
         return df.withColumns({out: F.lit(UNKNOWN), score: F.lit(0.0)})
-    shared = df.sparkSession.sparkContext.broadcast(model)  # at most 2 * CHARS states of a table per language
+    shared = df.sparkSession.sparkContext.broadcast(model)  # of at most LANGUAGES tables, whose size is that of their samples
 
     def run(batches):
         for batch in sliced(batches, ROWS):

@@ -12,13 +12,13 @@ def test_suffix_automaton_knows_exactly_the_substrings():
     rng = random.Random(1)
     for _ in range(20):
         s = [rng.randrange(3) for _ in range(rng.randint(1, 30))]
-        table = language_id.suffix_automaton(s, 3)
+        moves = language_id.Moves(language_id.suffix_automaton(s), 3)
         subs = {tuple(s[i:j]) for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
         for _ in range(100):
             t = [rng.randrange(3) for _ in range(rng.randint(1, 6))]
             state = 0
             for c in t:
-                state = table[state, c] if state >= 0 else -1
+                state = int(moves.next(np.array([state]), np.array([c]))[0]) if state >= 0 else -1
             assert (state >= 0) == (tuple(t) in subs)
 
 
@@ -40,6 +40,65 @@ def test_phrases_as_by_hand():
             assert got == n
 
 
+def brute_phrases(known, s):
+    """Longest matches from left to right, on plain lists."""
+    n = i = 0
+    has = lambda part: any(known[a : a + len(part)] == part for a in range(len(known)))
+    while i < len(s):
+        j = i
+        while j < len(s) and has(s[i : j + 1]):
+            j += 1
+        i, n = max(j, i + 1), n + 1
+    return n
+
+
+@pytest.mark.parametrize("lane, block", [(4, 2), (8, 3), (16, 16), (7, 50)])
+def test_phrases_run_across_lanes(monkeypatch, lane, block):
+    monkeypatch.setattr(language_id, "LANE", lane)
+    monkeypatch.setattr(language_id, "BLOCK", block)
+    rng = random.Random(lane)
+    text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    samples = {"aa": [text(30, "abc ")], "bb": [text(40, "abd "), "dddddddddddddddddddddddd"], "cc": ["abcabcabcabcabcabcabcabc"]}
+    model = language_id.Model(samples)
+    texts = [text(rng.randint(0, 70), "abcdx ") for _ in range(60)] + ["", "abc" * 30, "d" * 90, "1", "x" * 33]
+    names, scores = model.predict(texts)
+    for t, name, score in zip(texts, names, scores):
+        s = model.alphabet.read([t])[0].tolist()
+        if not any(c.isalpha() for c in t):
+            assert (name, score) == ("und", 0.0)
+            continue
+        bits = []
+        for lang in sorted(samples):
+            known = model.alphabet.read([" ".join(samples[lang])])[0].tolist()
+            bits.append(brute_phrases(known, s) * math.log2(max(2, len(known))) / len(s))
+        assert name == sorted(samples)[int(np.argmin(bits))]
+        least, second = sorted(bits)[:2]
+        assert math.isclose(score, second / (least + second))
+
+
+def test_language_learns_from_whole_texts(spark):
+    """What tells the languages apart stands far behind the beginning of the texts."""
+    rng = random.Random(2)
+    words = lambda pool: " ".join(rng.choice(pool) for _ in range(1500))
+    one, two, both = ["house", "river", "walks"], ["maison", "fleuve", "marche"], "lorem ipsum dolor sit amet " * 60
+    rows = [(i, both + words(one if i % 2 else two), "one" if i % 2 else "two") for i in range(40)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.predict(["the river walks a house", "la maison du fleuve marche"])[0] == ["one", "two"]
+
+
+def test_language_wide_scripts_and_many_languages(spark, monkeypatch):
+    rng = random.Random(4)
+    wide = lambda at: "".join(chr(at + rng.randrange(2500)) for _ in range(4000))
+    zh, ko = wide(0x4E00), wide(0xAC00)
+    model = language_id.Model({"zh": [zh], "ko": [ko]})
+    assert all(len(m.key) <= 1 << 16 for m in model.moves)  # by the sample, not by the letters
+    assert model.predict([zh[100:140], ko[100:140]])[0] == ["zh", "ko"]
+    monkeypatch.setattr(language_id, "LANGUAGES", 3)
+    many = spark.createDataFrame([(i, f"text number {i}", f"l{i}") for i in range(4)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="4 languages"):
+        language_id.fit(many)
+
+
 def test_language_odd_rows(spark, docs, none, clashing):
     train = spark.createDataFrame([(i, "the and of to in it is that " * 5, "en") for i in range(9)] + [(50 + i, "der und die das ist nicht ein " * 5, "de") for i in range(9)], "doc_id long, text string, lang string")
     model = language_id.fit(train)
