@@ -38,6 +38,7 @@ LANGUAGES = 200  # of at most 8 MB each
 LANE = 256
 BLOCK = 32  # symbols after which a second walk of a lane is compared to the first
 ROWS = 1024
+STATE_BITS = 20  # an automaton has fewer states than 2 to this power
 UNKNOWN = "und"
 _SPACE = 0  # symbol of everything that is no letter
 
@@ -74,42 +75,47 @@ def suffix_automaton(symbols):
 
 
 class Moves:
-    """The moves of an automaton in a table with open addressing; at most half of its slots are taken."""
+    """The moves of an automaton in a table with open addressing; at most a quarter of its slots are taken."""
 
     def __init__(self, edges, alphabet):
         state, symbol, to = edges
+        if len(to) and to.max() >= 1 << STATE_BITS:
+            raise ValueError("the sample of a language is too long")
         self.alphabet = alphabet
-        self.bits = max(4, (2 * len(state)).bit_length())
-        self.key = np.full(1 << self.bits, -1, np.int64)
-        self.to = np.full(1 << self.bits, -1, np.int32)
-        self.root = np.full(alphabet, -1, np.int32)
+        self.bits = max(4, (4 * len(state)).bit_length())
+        self.slot = np.full(1 << self.bits, -1, np.int64)  # state and symbol, then the next state in the low bits
+        self.root = np.full(alphabet, -1, np.int64)
         self.root[symbol[state == 0]] = to[state == 0]
         keys = state * alphabet + symbol
-        at = self._slot(keys)
+        at = self._at(keys)
         while len(keys):
-            free = self.key[at] < 0
-            self.key[at[free]] = keys[free]  # of several takers the last one has it
-            won = self.key[at] == keys
-            self.to[at[won]] = to[won]
-            keys, to, at = keys[~won], to[~won], (at[~won] + 1) & ((1 << self.bits) - 1)
+            free = self.slot[at] < 0
+            self.slot[at[free]] = (keys[free] << STATE_BITS) | to[free]  # of several takers the last one has it
+            lost = self.slot[at] >> STATE_BITS != keys
+            keys, to, at = keys[lost], to[lost], (at[lost] + 1) & ((1 << self.bits) - 1)
 
-    def _slot(self, keys):
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+    def _at(self, keys):
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).view(np.int64)
 
     def next(self, state, symbol):
-        """Next state of each pair, -1 where there is none."""
-        keys = state.astype(np.int64) * self.alphabet + symbol
-        at = self._slot(keys)
-        met = self.key[at]
-        out = np.where(met == keys, self.to[at], -1)
-        left = np.flatnonzero((met != keys) & (met >= 0))
+        """Next state of each pair, -1 where there is none, and the places of those without one."""
+        keys = state * self.alphabet + symbol
+        at = self._at(keys)
+        met = self.slot[at]
+        out = met & ((1 << STATE_BITS) - 1)
+        left = np.flatnonzero(met >> STATE_BITS != keys)
+        missed, met, keys, at = [], met[left], keys[left], at[left]
         while len(left):
-            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
-            met = self.key[at[left]]
-            same = met == keys[left]
-            out[left[same]] = self.to[at[left[same]]]
-            left = left[~same & (met >= 0)]
-        return out
+            none = met < 0
+            missed.append(left[none])
+            left, keys, at = left[~none], keys[~none], (at[~none] + 1) & ((1 << self.bits) - 1)
+            met = self.slot[at]
+            same = met >> STATE_BITS == keys
+            out[left[same]] = met[same] & ((1 << STATE_BITS) - 1)
+            left, keys, at, met = left[~same], keys[~same], at[~same], met[~same]
+        missed = np.concatenate(missed) if missed else left
+        out[missed] = -1
+        return out, missed
 
 
 class Alphabet:
@@ -157,13 +163,14 @@ class Model:
         """State after the symbols of ``block`` (one row per step) and phrases that end on the way."""
         count = np.zeros(block.shape[1], np.int32)
         for symbols in block:
-            here = symbols != self.alphabet.pad
-            to, fresh = moves.next(state, symbols), moves.root[symbols]
-            missed = here & (to < 0)
+            to, missed = moves.next(state, symbols)
+            symbols, before = symbols[missed], state[missed]
+            pad, fresh = symbols == self.alphabet.pad, moves.root[symbols]
             # the phrase under way ends; a symbol the sample has nowhere is a phrase by itself
-            count += missed & (state > 0)
-            count += missed & (fresh < 0)
-            state = np.where(missed, np.maximum(fresh, 0), np.where(here, to, state))
+            count[missed] += ~pad & (before > 0)
+            count[missed] += ~pad & (fresh < 0)
+            to[missed] = np.where(pad, before, np.maximum(fresh, 0))
+            state = to
         return state, count
 
     def phrases(self, lanes, moves, first=None):
@@ -174,7 +181,7 @@ class Model:
         steps, n = lanes.shape
         first = np.ones(n, bool) if first is None else first
         cuts = list(range(0, steps, BLOCK))
-        state = np.zeros((len(cuts) + 1, n), np.int32)  # before each block, and at the end
+        state = np.zeros((len(cuts) + 1, n), np.int64)  # before each block, and at the end
         count = np.zeros((len(cuts) + 1, n), np.int32)
         todo = np.arange(n)
         again = False
@@ -209,7 +216,7 @@ class Model:
         end = bounds[1:][owner]
         first = np.diff(owner, prepend=-1) > 0
         at = begin[None, :] + np.arange(LANE)[:, None]
-        lanes = np.where(at < end[None, :], s[np.minimum(at, max(0, len(s) - 1))], a.pad).astype(np.int32) if len(s) else np.zeros((LANE, 0), np.int32)
+        lanes = np.where(at < end[None, :], s[np.minimum(at, max(0, len(s) - 1))], a.pad).astype(np.int64) if len(s) else np.zeros((LANE, 0), np.int64)
         bits = np.empty((len(self.languages), len(texts)))
         for k, moves in enumerate(self.moves):
             total = np.bincount(owner, self.phrases(lanes, moves, first), minlength=len(texts))

@@ -18,7 +18,7 @@ def test_suffix_automaton_knows_exactly_the_substrings():
             t = [rng.randrange(3) for _ in range(rng.randint(1, 6))]
             state = 0
             for c in t:
-                state = int(moves.next(np.array([state]), np.array([c]))[0]) if state >= 0 else -1
+                state = int(moves.next(np.array([state]), np.array([c]))[0][0]) if state >= 0 else -1
             assert (state >= 0) == (tuple(t) in subs)
 
 
@@ -91,7 +91,7 @@ def test_language_wide_scripts_and_many_languages(spark, monkeypatch):
     wide = lambda at: "".join(chr(at + rng.randrange(2500)) for _ in range(4000))
     zh, ko = wide(0x4E00), wide(0xAC00)
     model = language_id.Model({"zh": [zh], "ko": [ko]})
-    assert all(len(m.key) <= 1 << 16 for m in model.moves)  # by the sample, not by the letters
+    assert all(len(m.slot) <= 1 << 17 for m in model.moves)  # by the sample, not by the letters
     assert model.predict([zh[100:140], ko[100:140]])[0] == ["zh", "ko"]
     monkeypatch.setattr(language_id, "LANGUAGES", 3)
     many = spark.createDataFrame([(i, f"text number {i}", f"l{i}") for i in range(4)], "doc_id long, text string, lang string")
