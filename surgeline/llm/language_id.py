@@ -37,7 +37,7 @@ CHARS = 40_000
 LANGUAGES = 200  # of at most 8 MB each
 LANE = 256
 BLOCK = 32  # symbols after which a second walk of a lane is compared to the first
-ROWS = 1024
+ROWS = 2048
 STATE_BITS = 20  # an automaton has fewer states than 2 to this power
 UNKNOWN = "und"
 _SPACE = 0  # symbol of everything that is no letter
@@ -103,18 +103,19 @@ class Moves:
         at = self._at(keys)
         met = self.slot[at]
         out = met & ((1 << STATE_BITS) - 1)
-        left = np.flatnonzero(met >> STATE_BITS != keys)
-        missed, met, keys, at = [], met[left], keys[left], at[left]
-        while len(left):
-            none = met < 0
-            missed.append(left[none])
-            left, keys, at = left[~none], keys[~none], (at[~none] + 1) & ((1 << self.bits) - 1)
-            met = self.slot[at]
-            same = met >> STATE_BITS == keys
-            out[left[same]] = met[same] & ((1 << STATE_BITS) - 1)
-            left, keys, at, met = left[~same], keys[~same], at[~same], met[~same]
-        missed = np.concatenate(missed) if missed else left
+        missed = np.flatnonzero(met >> STATE_BITS != keys)
+        left = missed[met[missed] >= 0]  # another move has the slot
         out[missed] = -1
+        if len(left):
+            keys, at = keys[left], at[left]
+            while len(left):
+                at = (at + 1) & ((1 << self.bits) - 1)
+                met = self.slot[at]
+                same = met >> STATE_BITS == keys
+                out[left[same]] = met[same] & ((1 << STATE_BITS) - 1)
+                go = ~same & (met >= 0)
+                left, keys, at = left[go], keys[go], at[go]
+            missed = missed[out[missed] < 0]
         return out, missed
 
 
@@ -167,8 +168,7 @@ class Model:
             symbols, before = symbols[missed], state[missed]
             pad, fresh = symbols == self.alphabet.pad, moves.root[symbols]
             # the phrase under way ends; a symbol the sample has nowhere is a phrase by itself
-            count[missed] += ~pad & (before > 0)
-            count[missed] += ~pad & (fresh < 0)
+            count[missed] += ~pad * ((before > 0).astype(np.int32) + (fresh < 0))
             to[missed] = np.where(pad, before, np.maximum(fresh, 0))
             state = to
         return state, count
