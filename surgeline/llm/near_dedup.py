@@ -14,6 +14,10 @@ members are one component. Every pair of a bucket is thus either compared or con
 and no link between components is lost. Pivots are the texts that share most sketches with others, as the
 original of a group of near copies does, so the first round connects most buckets; later rounds take four times as many.
 
+Before two texts are paired, their parity bits are compared: each k-mer turns one of at least as many bits as the text has
+k-mers. Two texts differ in at least as many k-mers as bits, so a pair with too many of them cannot be a link;
+this drops no link, but nearly all pairs of texts that share much and yet are not alike.
+
 Words are runs of letters, marks and digits in lower case. Texts of fewer than five words have one
 k-mer, all their words; null, empty and other texts without a word are alone in their class. Long
 texts are read whole; repeated rows fall into one class. An empty table gives an empty result;
@@ -102,6 +106,32 @@ def sketches(kmer, owner, n_docs, count=SKETCHES, taken=TAKEN):
     return out
 
 
+def parities(kmer, owner, n_docs):
+    """Bits of every text as 64-bit words, all in one array, and how many words each text has: a power of two.
+
+    A bit tells whether an odd number of k-mers falls on it. The words of a text folded in half are those it would have with half
+    as many bits.
+    """
+    size = np.maximum(np.bincount(owner, minlength=n_docs), 1)
+    held = 1 << np.ceil(np.log2(-(-size // 64))).astype(np.int64)
+    start = np.cumsum(held) - held
+    bit = (kmer & (held[owner] * 64 - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(start[owner] * 64 + bit, minlength=int(held.sum()) * 64) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64), held
+
+
+def _differing(a, b):
+    """Bits that differ between two texts, given as ``parities`` of the same or of neighbouring sizes."""
+    def folded(x):
+        half = F.size(x) / 2
+        return F.zip_with(F.slice(x, F.lit(1), half.cast("int")), F.slice(x, (half + 1).cast("int"), half.cast("int")), lambda u, v: u.bitwiseXOR(v))
+
+    def count(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda u, v: u.bitwiseXOR(v)), F.lit(0), lambda total, x: total + F.bit_count(x))
+
+    return F.when(F.size(a) == F.size(b), count(a, b)).when(F.size(a) > F.size(b), count(folded(a), b)).otherwise(count(a, folded(b)))
+
+
 def similarity(a, b):
     """Banded alignment of two lists of labelled k-mers, each k-mer at most once in a list.
 
@@ -132,7 +162,7 @@ def similarity(a, b):
 
 
 def _profile(batches):
-    """Content key, k-mer count, sketches and 16-bit words of every text."""
+    """Content key, k-mer count, sketches, parity bits and 16-bit words of every text."""
     for batch in sliced(batches, ROWS):
         n = batch.num_rows
         value, doc, _, _ = words(texts_of(batch, "text"))
@@ -150,15 +180,18 @@ def _profile(batches):
         counts = np.bincount(owner, minlength=n)
         flat = pa.array(keys.ravel().view(np.int64))
         offsets = np.arange(n + 1, dtype=np.int32) * keys.shape[1]
+        bits, held = parities(kmer, owner, n)
+        spans = np.concatenate([[0], np.cumsum(held)]).astype(np.int32)
         half = (value & np.uint64(0xFFFF)).astype(np.uint16)
         cut = [half[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         yield pa.RecordBatch.from_arrays(
             [
                 *[batch.column(c) for c in ("id", "mark", "points")], pa.array(counts.astype(np.int64)),
                 pa.array(content[0].view(np.int64)), pa.array(content[1].view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array(cut, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(offsets), flat), pa.ListArray.from_arrays(pa.array(spans), pa.array(bits.view(np.int64))),
+                pa.array(cut, pa.binary()),
             ],
-            names=["id", "mark", "points", "n", "c0", "c1", "keys", "words"],
+            names=["id", "mark", "points", "n", "c0", "c1", "keys", "bits", "words"],
         )
 
 
@@ -216,23 +249,26 @@ def extended(labels, links):
     return written(moved.select("node", F.coalesce("to", "comp").alias("comp")), "near-labels")
 
 
-def classes(members, content_words):
+def classes(members, content):
     """(node, comp) of all reps that are linked to another one; None if no bucket holds two.
 
-    ``members``: key, rep, n; ``content_words``: uid, words of every rep.
+    ``members``: key, rep, n; ``content``: uid, bits, words of every rep.
     """
     held = members.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
     active = written(members.join(held, "key"), "near-active")
     central = active.groupBy("rep").agg(F.sum("held").alias("central"))
     active = written(active.join(central, "rep").select("key", "rep", "n", "central", F.col("rep").alias("comp")), "near-active")
-    known_words = content_words.join(active.select(F.col("rep").alias("uid")).distinct(), "uid")
-    known_words = written(known_words, "near-words")
+    known = written(content.join(active.select(F.col("rep").alias("uid")).distinct(), "uid"), "near-words")
+    known_words, known_bits = known.select("uid", "words"), known.select(F.col("uid").alias("rep"), "bits")
     tested, labels, pivots = None, None, 1
     while not active.isEmpty():
         w = Window.partitionBy("key").orderBy(F.desc("central"), "rep")
         chosen = active.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= pivots)
         chosen = written(chosen.select("key", F.col("rep").alias("p"), F.col("n").alias("np"), F.col("comp").alias("cp")), "near-pivots")
-        met = active.join(chosen, "key").filter((F.col("comp") != F.col("cp")) & (F.least("n", "np") >= SIMILARITY * F.greatest("n", "np")))
+        few = (1 - SIMILARITY) / (1 + SIMILARITY) * (F.col("n") + F.col("np")) + 1e-6  # k-mers by which a link's texts differ at most
+        near = (F.col("comp") != F.col("cp")) & (F.least("n", "np") >= SIMILARITY * F.greatest("n", "np")) & (_differing(F.col("bits"), F.col("bits_p")) <= few)
+        pivot_bits = known_bits.select(F.col("rep").alias("p"), F.col("bits").alias("bits_p"))
+        met = active.join(known_bits, "rep").join(chosen.join(pivot_bits, "p"), "key").filter(near)
         pairs = met.select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -259,15 +295,15 @@ def near_classes(df, id_col="doc_id", text="text"):
         F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("points"), F.col(text).alias("text")
     )
     id_type = source.schema["id"].dataType.simpleString()
-    profile = source.mapInArrow(_profile, f"id {id_type}, mark long, points long, n long, c0 long, c1 long, keys array<long>, words binary")
+    profile = source.mapInArrow(_profile, f"id {id_type}, mark long, points long, n long, c0 long, c1 long, keys array<long>, bits array<long>, words binary")
     rows = written(profile.withColumn("uid", F.monotonically_increasing_id()), "near-rows")
     texts = written(
         rows.filter("n > 0").groupBy("n", "c0", "c1").agg(F.min("uid").alias("rep"), F.first("keys").alias("keys")), "near-texts"
     )
     members = written(texts.select("rep", "n", F.explode("keys").alias("key")), "near-members")
-    labels = classes(members, rows.select("uid", "words"))
+    labels = classes(members, rows.select("uid", "bits", "words"))
     content = texts.select("n", "c0", "c1", "rep")
-    placed = rows.drop("keys", "words").join(content, ["n", "c0", "c1"], "left")
+    placed = rows.drop("keys", "bits", "words").join(content, ["n", "c0", "c1"], "left")
     placed = placed.withColumn("rep", F.coalesce("rep", "uid"))
     if labels is not None:
         placed = placed.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class", F.coalesce("comp", "rep")).drop("comp")

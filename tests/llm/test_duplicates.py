@@ -110,6 +110,45 @@ def test_near_odd_rows(docs, none, clashing):
     assert near_dedup.near_deduplicated(none).collect() == []
 
 
+def test_near_texts_just_under_the_threshold_are_not_paired(spark, monkeypatch):
+    """Texts of which a common passage makes up four fifths meet in many buckets, but only alike ones are verified."""
+    rng = random.Random(7)
+    shared = [f"s{i}" for i in range(240)]
+    texts = [" ".join(shared + [f"o{t}_{i}" for i in range(60)]) for t in range(120)]
+    texts.append(" ".join(edited(rng, texts[0].split(), 0.005)))
+    sizes, inner = [], near_dedup.written
+
+    def counted(df, label):
+        out = inner(df, label)
+        if label == "near-tested":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", counted)
+    out = near_dedup.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r.doc_id: r.class_id for r in out}
+    assert got == {i: 0 if i in (0, 120) else i for i in range(121)}
+    assert 1 <= sum(sizes) <= 121
+
+
+def test_parity_bits_never_differ_more_than_the_kmers(spark):
+    rng = np.random.default_rng(3)
+    pool, pairs = rng.integers(0, 2**63, 6000).astype(np.uint64), []
+    for n in (1, 5, 63, 64, 65, 130, 900, 1030, 4000):
+        for share in (1.0, 0.9, 0.6):
+            m = max(1, int(n * rng.uniform(0.8, 1.25)))
+            first, kept = rng.choice(6000, n, replace=False), max(1, int(share * min(n, m)))
+            other = np.setdiff1d(np.arange(6000), first)
+            a, b = pool[first], pool[np.concatenate([first[:kept], rng.choice(other, m - kept, replace=False)])]
+            bits, held = near_dedup.parities(np.concatenate([a, b]), np.repeat([0, 1], [n, m]), 2)
+            x, y = bits.view(np.int64)[: held[0]].tolist(), bits.view(np.int64)[held[0] :].tolist()
+            assert [len(x), len(y)] == held.tolist() and all(64 * h >= k for h, k in zip(held, (n, m)))
+            pairs.append((x, y, n + m - 2 * kept, len(pairs)))
+    df = spark.createDataFrame(pairs, "a array<long>, b array<long>, most long, i int")
+    for r in df.select("*", near_dedup._differing(F.col("a"), F.col("b")).alias("d"), near_dedup._differing(F.col("b"), F.col("a")).alias("e")).collect():
+        assert r.d == r.e and r.d % 2 == r.most % 2 and r.most // 3 <= r.d <= r.most
+
+
 def test_labelled_kmers_count_repeats():
     value = np.array([1, 1, 1, 1, 1, 1, 1], np.uint64)
     kmer, owner = near_dedup.labelled(value, np.zeros(7, np.int64))
