@@ -45,18 +45,22 @@ def byte_symbols():
 
 
 class Pieces:
-    """The bytes of every token of a vocabulary, as one array."""
+    """The bytes of every token of a vocabulary."""
 
     def __init__(self, pieces):
         self.size = np.array([len(p) for p in pieces], np.int64)
-        self.start = np.cumsum(self.size) - self.size
-        self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
+        self.bytes = list(pieces)
         self.kind = np.uint16 if len(pieces) <= 1 << 16 else np.uint32
 
     def joined(self, ids):
         """The bytes of the tokens ``ids``, one after another."""
-        n = self.size[ids]
-        return self.bytes[np.arange(int(n.sum())) + np.repeat(self.start[ids] - (np.cumsum(n) - n), n)]
+        return b"".join([self.bytes[i] for i in ids])
+
+
+def may_run(text, run=RUN):
+    """False only if no ``run`` characters in a row are all spaces or all others: such a run fills a block of half its length."""
+    half = run // 2
+    return len(text) >= run and any(text.find(" ", i, i + half) < 0 or text[i : i + half].isspace() for i in range(0, len(text) - half + 1, half))
 
 
 @lru_cache(maxsize=2)
@@ -82,7 +86,7 @@ def byte_tokenizer(path):
 
     def encode(texts):
         return [
-            quick.encode_ordinary(t) if quick and not long_run.search(t) else slow.encode(t, add_special_tokens=False).ids
+            quick.encode_ordinary(t) if quick and not (may_run(t) and long_run.search(t)) else slow.encode(t, add_special_tokens=False).ids
             for t in texts
         ]
 
@@ -119,10 +123,9 @@ def tokens_of(texts, first, second):
     (encode_a, a), (encode_b, b) = first, second
     out = []
     for t, x, y in zip(texts, encode_a([" " + t for t in texts]), encode_b(texts)):
-        x, y = np.array(x, np.int64), np.array(y, np.int64)
         want = (" " + t).encode() if t else b""
-        same = bool(t) and all(p.size[i].sum() == len(want) and p.joined(i).tobytes() == want for p, i in ((a, x), (b, y)))
-        out.append((x.astype(a.kind), y.astype(b.kind)) if same else (x[:0].astype(a.kind), y[:0].astype(b.kind)))
+        same = bool(t) and all(p.joined(i) == want for p, i in ((a, x), (b, y)))
+        out.append(tuple(np.array(i if same else [], p.kind) for p, i in ((a, x), (b, y))))
     return out
 
 
@@ -170,14 +173,15 @@ def digests(ids_a, ids_b, label_a, label_b, doc_a, doc_b, docs):
         sep[place] = np.where(np.diff(label, append=-1) != 0, last[0], ord(","))
     shown, size = decimals(int(ids.max(initial=0)) + 1 | 0xFFFF)
     size = size[ids]
-    more = np.diff(doc, append=-1) == 0
-    at = np.cumsum(size + more) - (size + more)
-    text = np.empty(int((size + more).sum()), np.uint8)
-    for d in range(shown.shape[1]):
-        has = size > d
-        text[at[has] + d] = shown[ids[has], d]
-    text[(at + size)[more]] = sep[more]
-    cut = np.r_[at, len(text)][np.searchsorted(doc, np.arange(docs + 1))]
+    sep[np.diff(doc, append=-1) != 0] = 0
+    width = shown.shape[1] + 1
+    padded = np.empty((n, width), np.uint8)  # digits and separator of each token, zeros after them
+    padded[:, :-1], padded[:, -1] = shown[ids], 0
+    padded = padded.ravel()
+    padded[np.arange(n) * width + size] = sep
+    text = padded[padded != 0]
+    used = np.concatenate([[0], np.cumsum(size + (sep != 0))])
+    cut = used[np.searchsorted(doc, np.arange(docs + 1))]
     view = memoryview(text)
     return [hashlib.sha256(view[a:b]).hexdigest() if b > a else "" for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
 

@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,22 @@ def test_quick_and_slow_library_give_the_same_ids(libraries):
     assert encode(texts) == [libraries[0].encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("at", [0, 1, 499, 500, 777])
+def test_every_long_run_is_looked_for(at):
+    for c in ("a", " ", "\n", "\u3000", "é"):
+        other = "b" if c.isspace() else " "
+        assert A.may_run(other * at + c * A.RUN + other * 30)
+        assert A.may_run((other + c) * at + c * (A.RUN + 1) + other)
+    assert not A.may_run("some words and more " * 400) and not A.may_run("a" * (A.RUN - 1))
+
+
+def test_digests_of_groups():
+    ids_a, ids_b = np.array([7, 0, 12345, 10, 49999]), np.array([31, 5, 0, 9])
+    label_a, label_b = np.array([0, 0, 1, 2, 2]), np.array([0, 1, 1, 2])
+    found = A.digests(ids_a, ids_b, label_a, label_b, np.array([0, 0, 0, 2, 2]), np.array([0, 0, 0, 2]), 3)
+    assert found == [hashlib.sha256(b"7,0|31;12345|5,0").hexdigest(), "", hashlib.sha256(b"10,49999|9").hexdigest()]
+
+
 def test_long_text_and_repeated_rows(spark, libraries):
     texts = ["long text, " * 4000, "twice", "twice"]
     df = spark.createDataFrame([(1, texts[0]), (2, "twice"), (2, "twice")], "doc_id long, text string")
