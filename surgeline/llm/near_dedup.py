@@ -254,11 +254,12 @@ def classes(members, content):
 
     ``members``: key, rep, n; ``content``: uid, bits, words of every rep.
     """
-    held = members.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    held = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "near-held")
     active = written(members.join(held, "key"), "near-active")
     central = active.groupBy("rep").agg(F.sum("held").alias("central"))
     active = written(active.join(central, "rep").select("key", "rep", "n", "central", F.col("rep").alias("comp")), "near-active")
-    known = written(content.join(active.select(F.col("rep").alias("uid")).distinct(), "uid"), "near-words")
+    reps = written(active.select(F.col("rep").alias("uid")).distinct(), "near-reps")  # written, so that few of them are broadcast and no text is shuffled
+    known = written(content.join(reps, "uid"), "near-words")
     known_words, known_bits = known.select("uid", "words"), known.select(F.col("uid").alias("rep"), "bits")
     tested, labels, pivots = None, None, 1
     while not active.isEmpty():
@@ -272,8 +273,11 @@ def classes(members, content):
         pairs = met.select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        with_a = pairs.join(known_words.select(F.col("uid").alias("a"), F.col("words").alias("words_a")), "a")
-        with_b = with_a.join(known_words.select(F.col("uid").alias("b"), F.col("words").alias("words_b")), "b")
+        pairs = written(pairs, "near-pairs")
+        needed = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).distinct()
+        needed = written(known_words.join(written(needed, "near-needed"), "uid"), "near-needed-words")
+        with_a = pairs.join(needed.select(F.col("uid").alias("a"), F.col("words").alias("words_a")), "a")
+        with_b = with_a.join(needed.select(F.col("uid").alias("b"), F.col("words").alias("words_b")), "b")
         new = written(with_b.select("a", "b", "words_a", "words_b").mapInArrow(_verify, "a long, b long, linked boolean"), "near-tested")
         tested = new if tested is None else tested.unionByName(new)
         labels = extended(labels, new.filter("linked").select("a", "b"))
