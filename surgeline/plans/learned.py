@@ -38,8 +38,12 @@ def encoded(rows, by):
 
 
 def feature_rows(spark, folder):
-    """Features by calendar days of all rows up to the end of the test window, written once per session."""
-    return V.once(spark, folder, "feature-rows", lambda: V.until(V.feature_table(spark, folder, exact_dates=True), S.TEST_END))
+    """Features by calendar days of all panel rows up to the end of the test window, written once per session."""
+    def build():
+        holidays, start = V.panel_holidays(spark, folder), V._panel_origin(spark, folder)
+        return V.until(features.build_features(V.panel(spark, folder), holidays, origin=start, exact_dates=True), S.TEST_END)
+
+    return V.once(spark, folder, "feature-rows", build)
 
 
 def split_rows(spark, folder):
@@ -152,7 +156,7 @@ def _ahead(spark, folder, start, days, trends, levels, by=()):
     rows = P.scaffold(known, start, days)
     if by:
         rows = rows.join(F.broadcast(trends.select(*by).distinct()))
-    return recursion.static_features(rows, V.holidays(spark, folder), trends, levels, V._panel_origin(spark, folder), by)
+    return recursion.static_features(rows, V.panel_holidays(spark, folder), trends, levels, V._panel_origin(spark, folder), by)
 
 
 @query("recursive_forecast", "p10 p50 p90", 6)
@@ -210,7 +214,7 @@ def _cap_models(spark, folder):
     trends = V.once(spark, folder, "cap-trends", fits)
 
     def build():
-        table = features.build_features(usage, V.holidays(spark, folder), origin=start, exact_dates=True)
+        table = features.build_features(usage, V.panel_holidays(spark, folder), origin=start, exact_dates=True)
         table = backtest.assign_role(table, S.TRAIN_END, S.VAL_END).select("*", F.explode(F.array(*[F.lit(c) for c in S.CAPS])).alias("cap"))
         out = trend.with_ratio(trend.with_trend(table, trends, ["cap", *KEYS]))
         hybrid = out.withColumns({"variant": F.col("cap").cast("string"), "label": F.ln("ratio")})

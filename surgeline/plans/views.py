@@ -224,6 +224,12 @@ def _panel_origin(spark, folder):
     return panel(spark, folder).agg(F.min("date")).scalar()
 
 
+def panel_holidays(spark, folder):
+    """The holidays of the panel's years; the same as ``holidays``, without another scan of the facts."""
+    span = panel(spark, folder).agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    return H.holiday_calendar(span.select(F.explode(F.array("a", "b")).alias("date")))
+
+
 def trends(spark, folder, last=S.TRAIN_END, cap=trend.MAX_MONTHLY_GROWTH, after=None):
     rows = until(panel(spark, folder), last, after)
     return trend.fit_trends(rows, cap, origin=_panel_origin(spark, folder))

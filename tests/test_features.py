@@ -179,3 +179,24 @@ def test_missing_columns_are_named(spark):
 
 def test_first_rows_of_a_series(sample):
     assert explore.growth(explore.totals(sample)).count() == 1
+
+
+def test_learned_rows_read_the_facts_once_and_equal_those_from_the_facts(spark, tmp_path, monkeypatch):
+    """Features, holidays and origin come from the panel, whose size follows the calendar and not the facts."""
+    from surgeline.plans import learned, views
+
+    rng = random.Random(5)
+    rows = [(datetime.datetime(1998, 11, 1) + datetime.timedelta(days=rng.randrange(500), hours=rng.randrange(24)), rng.choice("ANR"), rng.choice("FO"), float(rng.randrange(50))) for _ in range(600)]
+    rows += [(None, "A", "F", 7.0), (datetime.datetime(1999, 1, 1, 23), None, "O", 3.0), (datetime.datetime(1999, 1, 2), "A", None, None)] * 2
+    schema = "l_shipdate timestamp, l_returnflag string, l_linestatus string, l_quantity double"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "lineitem.parquet"))
+    read, table = [], views.P.table
+    monkeypatch.setattr(views.P, "table", lambda s, folder, name: read.append(name) or table(s, folder, name))
+    monkeypatch.setattr(views, "_BUILT", {})
+    folder = str(tmp_path)
+    got = learned.feature_rows(spark, folder).collect()
+    marked = views.panel_holidays(spark, folder).collect()
+    assert read == ["lineitem"]
+    want = views.until(views.feature_table(spark, folder, exact_dates=True), learned.S.TEST_END).collect()
+    assert len(got) > 300 and sorted(got, key=str) == sorted(want, key=str)
+    assert sorted(marked) == sorted(views.holidays(spark, folder).collect())
