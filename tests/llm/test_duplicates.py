@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -316,6 +317,42 @@ def test_a_line_that_texts_repeat_many_times(spark):
     assert {(r.doc_id, r.other_doc_id) for r in found if r.equal_words >= 60} == {(a, b) for a in range(4) for b in range(4) if a != b}
 
 
+def test_few_seeds_are_kept_and_none_that_texts_share_is_lost(spark, monkeypatch):
+    """Seeds of one text only stay behind in their blocks; those of several come back with all their places."""
+    rng = random.Random(31)
+    monkeypatch.setattr(substring_dedup, "BLOCK", 900)
+    own = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    common = own(30)
+    texts = [own(200) for _ in range(30)] + [own(40) + common + own(rng.randrange(9)) + common for _ in range(3)] + [["the"] * 20] * 2 + [["x"], []]
+    kinds = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    read = spark.createDataFrame(kinds, "id long, text string").coalesce(2).mapInArrow(substring_dedup._read, "id long, part int, words binary")
+    rows = substring_dedup.written(read.withColumn("uid", F.col("id")).withColumn("block", F.col("id") % 2 * 100 + F.col("part")), "passage-rows")
+    got = [(r.uid, r.pos) for r in substring_dedup._repeated_seeds(rows).collect()]
+    holders = defaultdict(set)
+    for i, w in enumerate(texts):
+        for p in range(len(w) - 4):
+            holders[tuple(w[p : p + 5])].add(i)
+    assert sorted(got) == [(i, p) for i, w in enumerate(texts) for p in range(len(w) - 4) if len(holders[tuple(w[p : p + 5])]) > 1]
+
+
+def test_slices_change_nothing_and_only_what_is_read_stays(spark, monkeypatch):
+    rng = random.Random(32)
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    base = fresh(120)
+    rows = [(i, " ".join(fresh(9) + base[a : a + 70] + fresh(9))) for i, a in enumerate([0, 10, 30])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    whole = sorted(map(tuple, substring_dedup.passages(df).collect()))
+    labels, inner = [], substring_dedup.written
+    monkeypatch.setattr(substring_dedup, "written", lambda d, label: labels.append((label, inner(d, label))) or labels[-1][1])
+    monkeypatch.setattr(substring_dedup, "SLICE", 40)
+    monkeypatch.setattr(substring_dedup, "SLICES", 2)
+    assert sorted(map(tuple, substring_dedup.passages(df).collect())) == whole and len(whole) >= 4
+    assert sum(label == "passage-members" for label, _ in labels) > 1
+    for gone in ("passage-found", "passage-held", "passage-members", "passage-words"):
+        path = [t.inputFiles() for label, t in labels if label == gone]
+        assert path and not any(os.path.exists(f.removeprefix("file://")) for files in path for f in files)
+
+
 def test_stages_return_the_columns_they_were_given(clashing):
     """Columns whose names the stages use inside come back unchanged."""
     from surgeline.llm import mixing
