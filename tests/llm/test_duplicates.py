@@ -2,9 +2,11 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from surgeline.llm import exact_dedup, near_dedup, substring_dedup
@@ -317,6 +319,44 @@ def test_a_line_that_texts_repeat_many_times(spark):
     assert {(r.doc_id, r.other_doc_id) for r in found if r.equal_words >= 60} == {(a, b) for a in range(4) for b in range(4) if a != b}
 
 
+def compared(*texts):
+    """Passages of the first text with the second, as tuples, and the most memory that was held meanwhile, in bytes."""
+    cells = [substring_dedup.words([t])[0].astype(np.uint32).tobytes() for t in texts]
+    batch = pa.RecordBatch.from_pylist([{"uid": 0, "other": 1, "words": cells[0], "other_words": cells[1]}])
+    tracemalloc.start()
+    found = [tuple(r.values()) for b in substring_dedup._compared(iter([batch]), 50, 0.7) for r in b.to_pylist()]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return found, most
+
+
+def test_memory_does_not_follow_the_common_seeds_of_two_texts():
+    """Texts of one line have as many common seeds as the product of its places in both."""
+    line = "all rights reserved "
+    found, most = compared("one " + line * 300, "two other " + line * 250)
+    assert (1, 751, 2, 752, 750) in [r[2:7] for r in found]
+    assert most < 20e6, most
+
+
+def test_chains_by_places_are_those_of_all_matches(monkeypatch):
+    rng = random.Random(41)
+    for room in (20, 10**6):
+        monkeypatch.setattr(substring_dedup, "FRAGMENTS", room)
+        for _ in range(25):
+            block = [rng.randrange(4) for _ in range(rng.randint(1, 25))]
+            one, two = ([w if rng.random() > 0.03 else rng.randrange(9) for w in block * rng.randint(1, 12)] for _ in range(2))
+            one, two = (substring_dedup._sorted_seeds(np.array(w, np.uint32).tobytes()) for w in (one, two))
+            xs, left, right, q = substring_dedup._matched(one, two)
+            x = np.repeat(xs, right - left)
+            y = np.concatenate([q[a:b] for a, b in zip(left, right)] + [np.empty(0, np.int64)])
+            wanted = [(x[c].tolist(), y[c].tolist()) for c in substring_dedup.chains(x, y, 5) if x[c[-1]] + 5 - x[c[0]] >= 12]
+            for many in (0, 10**6):
+                monkeypatch.setattr(substring_dedup, "MANY", many)
+                monkeypatch.setattr(substring_dedup, "DENSE", many)
+                found = [(a.tolist(), b.tolist()) for a, b in substring_dedup._chains_of(xs, left, right, q, 50)]
+                assert sorted(found) == sorted(wanted)
+
+
 def test_few_seeds_are_kept_and_none_that_texts_share_is_lost(spark, monkeypatch):
     """Seeds of one text only stay behind in their blocks; those of several come back with all their places."""
     rng = random.Random(31)
