@@ -338,6 +338,17 @@ def test_memory_does_not_follow_the_common_seeds_of_two_texts():
     assert most < 20e6, most
 
 
+def test_memory_does_not_follow_the_copies_of_long_texts():
+    """Chains go out before many are held, though a batch has the matches of many pairs."""
+    places = pa.array([[{"pos": i, "other_pos": i + 1} for i in range(4000)]] * 100, pa.list_(pa.struct([("pos", pa.int32()), ("other_pos", pa.int32())])))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(range(100, 200)), places], names=["uid", "other", "matches"])
+    tracemalloc.start()
+    n = sum(len(x) for b in substring_dedup._chained(iter([batch])) for x in b.column("x").to_pylist())
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 400_000 and most < 16e6, most
+
+
 def test_chains_by_places_are_those_of_all_matches(monkeypatch):
     rng = random.Random(41)
     for room in (20, 10**6):
